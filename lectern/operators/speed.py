@@ -71,7 +71,11 @@ def video_engagement(events: DataFrame, length: str = "1 minute") -> DataFrame:
     )
 
 
-def closed_windows(view: DataFrame, events: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """The windows an append-mode stream over `events` has emitted by its end."""
-    watermark = events.agg(F.max("timestamp") - F.expr(f"INTERVAL {delay}")).scalar()
+def closed_windows(view: DataFrame, rows: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """The windows an append-mode stream has emitted when its input is worked off.
+
+    `rows` are the events the view counts, not all events: Catalyst moves a view's
+    filter below the watermark, which therefore follows the filtered rows.
+    """
+    watermark = rows.agg(F.max("timestamp") - F.expr(f"INTERVAL {delay}")).scalar()
     return view.where(F.col("end") <= watermark)

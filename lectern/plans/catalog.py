@@ -188,13 +188,13 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
         i.view("course_overview"), "COURSE007"
     ),
     "serve_student_details": lambda i: serving.student_details(
-        i.view("student_overview"), "SV000046"
+        i.view("student_overview"), "SV000041"
     ),
     "serve_course_students": lambda i: serving.course_students(
         i.view("student_course_enrollment"), "COURSE007"
     ),
     "serve_student_courses": lambda i: serving.student_courses(
-        i.view("student_course_enrollment"), "SV000046"
+        i.view("student_course_enrollment"), "SV000041"
     ),
     "serve_student_course_performance": lambda i: serving.student_course_performance(
         i.view("student_course_detailed"), "SV000046", "COURSE010"

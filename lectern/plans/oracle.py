@@ -571,12 +571,12 @@ FROM v_auth_daily_active_users WHERE CAST(date AS TIMESTAMP) >= {_hours(240)}"""
     "serve_all_courses": "SELECT * FROM v_course_overview",
     "serve_all_students": "SELECT * FROM v_student_overview",
     "serve_course_details": "SELECT * FROM v_course_overview WHERE course_id = 'COURSE007'",
-    "serve_student_details": "SELECT * FROM v_student_overview WHERE student_id = 'SV000046'",
+    "serve_student_details": "SELECT * FROM v_student_overview WHERE student_id = 'SV000041'",
     "serve_course_students": (
         "SELECT * FROM v_student_course_enrollment WHERE course_id = 'COURSE007'"
     ),
     "serve_student_courses": (
-        "SELECT * FROM v_student_course_enrollment WHERE student_id = 'SV000046'"
+        "SELECT * FROM v_student_course_enrollment WHERE student_id = 'SV000041'"
     ),
     "serve_student_course_performance": (
         "SELECT * FROM v_student_course_detailed"
@@ -676,18 +676,23 @@ _INGEST = {
 }
 
 
-def _closed(view: str, delay: str = "INTERVAL 1 MINUTE") -> str:
-    """Windows that an append-mode stream has emitted when its input is worked off."""
+def _closed(view: str, counted: str) -> str:
+    """Windows that an append-mode stream has emitted when its input is worked off.
+
+    The watermark follows the rows the view counts.
+    """
     return f"""
-SELECT * FROM ({view}) WHERE window_end <= (SELECT max(tp) - {delay} FROM typed)"""
+SELECT * FROM ({view})
+WHERE window_end <= (SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE {counted})"""
 
 
 _STREAMED = {
-    "stream_course_popularity": _closed("SELECT * FROM course_popularity"),
+    "stream_course_popularity": _closed("SELECT * FROM course_popularity", _IN_COURSE),
     "stream_video_engagement_15min": _closed(
         'SELECT video_id, start AS window_start, "end" AS window_end, views,'
         " CAST(0 AS BIGINT) AS unique_viewers, CAST(0 AS BIGINT) AS total_watch_seconds"
-        f" FROM ({_tumbling(15, 'video_id', 'views', _WATCHED)})"
+        f" FROM ({_tumbling(15, 'video_id', 'views', _WATCHED)})",
+        _WATCHED,
     ),
 }
 
