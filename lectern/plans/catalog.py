@@ -10,16 +10,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.columns import as_ntz
 from lectern.operators import records, serving, speed
+from lectern.plans import runner
 from lectern.plans.registry import VIEWS, build_view
+from lectern.schemas import TOPICS
 from lectern.sources import keyed
-from lectern.sources.events import encode, raw_envelope
+from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
+from lectern.sources.streams import master_sink
+from lectern.sources.views import read_view
 from lectern.streaming import speed as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,7 +146,53 @@ def _streamed(name: str, length: str, slide: str = "30 seconds") -> Query:
     return query
 
 
+def _master(spark: SparkSession, sf_dir: str) -> str:
+    """Stream the derived raw records into a master dataset; returns its root."""
+    root = shared_folder(spark, "master")
+    events = spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{sf_dir}/events*.parquet")
+    master_sink(derive(events), f"{root}/data", f"{root}/checkpoint", None).start().awaitTermination()
+    return f"{root}/data"
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _master(spark, sf_dir)
+    parts = [read_topic(spark, root, topic) for topic in TOPICS.values()]
+    return as_ntz(reduce(DataFrame.unionByName, parts))
+
+
+def _run_job(job: str, view: str) -> Query:
+    """A batch job from the master dataset to stored views, and one of its views read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views = shared_folder(spark, "views")
+        report = runner.run(spark, _master(spark, sf_dir), views, [job])
+        if not report.ok:
+            raise RuntimeError(report.jobs[job])
+        return as_ntz(read_view(spark, views, view))
+
+    return query
+
+
+def _exported(fmt: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_folder(spark, "export")
+        dated = records.normalise_dates(_dated_rows(Inputs(spark, sf_dir)))
+        records.export(dated, root)
+        reader = spark.read.schema(dated.schema).option("header", True)
+        return reader.option("emptyValue", "").option("nullValue", "\\N").format(fmt).load(f"{root}/{fmt}")
+
+    return query
+
+
 STREAMED: dict[str, Query] = {
+    "ingest_master_dataset": _ingested,
+    "batch_run_notifications": _run_job("profile_notification", "notification_user_summary"),
+    "batch_run_student_courses": _run_job("student_course_analytics", "student_course_detailed"),
+    "records_export_json": _exported("json"),
+    "records_export_parquet": _exported("parquet"),
+    "audit_freshness": lambda spark, sf_dir: records.freshness(
+        spark, {"master": sf_dir}, "2099-01-01"
+    ),
     "stream_active_users": _streamed("active_users", "1 minute"),
     "stream_course_popularity": _streamed("course_popularity", "1 minute"),
     "stream_video_engagement_15min": _streamed("video_engagement", "15 minutes"),

@@ -666,6 +666,7 @@ def _decoded(topic: str) -> str:
 _QUIZ_FIELDS = ["event_type", "user_id", "course_id", "quiz_id", "correct_answers", "student_id"]
 
 _INGEST = {
+    "ingest_master_dataset": "SELECT * FROM raw",
     "ingest_raw_envelope": "SELECT * FROM raw",
     "ingest_topic_read": "SELECT * FROM raw WHERE topic = 'course_topic'",
     "ingest_encode_quizzes": (
@@ -687,6 +688,8 @@ WHERE window_end <= (SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE {counte
 
 
 _STREAMED = {
+    "batch_run_notifications": _VIEW["notification_user_summary"],
+    "batch_run_student_courses": _VIEW["student_course_detailed"],
     "stream_course_popularity": _closed("SELECT * FROM course_popularity", _IN_COURSE),
     "stream_video_engagement_15min": _closed(
         'SELECT video_id, start AS window_start, "end" AS window_end, views,'
@@ -704,17 +707,19 @@ _KEEP = [
     ("notification_topic", 30),
 ]
 
+_DATED = """
+SELECT user_id AS student_id, coalesce(strftime(tp, '%Y-%m-%dT%H:%M:%S'), '') AS event_time,
+       coalesce(strftime(CAST(CAST(tp AS DATE) AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S'), '') AS NgayHoc,
+       "timestamp" AS note
+FROM course"""
+
 _RECORDS = {
     "records_dedupe_enrollments": """
 SELECT o_custkey AS student_id, o_orderpriority AS class_id, o_orderstatus AS semester,
        o_orderdate AS enroll_date, o_orderkey AS position
 FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) = 1""",
-    "records_normalise_dates": """
-SELECT user_id AS student_id, coalesce(strftime(tp, '%Y-%m-%dT%H:%M:%S'), '') AS event_time,
-       coalesce(strftime(CAST(CAST(tp AS DATE) AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S'), '') AS NgayHoc,
-       "timestamp" AS note
-FROM course""",
+    "records_normalise_dates": _DATED,
     "records_grade_totals": """
 SELECT *, mid_ok AND final_ok AND total_score >= 4 AS passed FROM (
   SELECT student_id, class_id, midterm_score, final_score, weight_mid,
@@ -740,6 +745,7 @@ WHERE topic = 'profile_topic' OR """
         f"""(topic = '{t}' AND "timestamp" >= TIMESTAMP '2024-02-15' - INTERVAL {d} DAY)"""
         for t, d in _KEEP
     ),
+    **{f"records_export_{fmt}": _DATED for fmt in ("json", "parquet")},
     "records_event_mix": """
 SELECT event_category, count(*) AS events,
        count(*) / (SELECT count(*) FROM typed) * 100 AS percentage

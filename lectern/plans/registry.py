@@ -42,8 +42,15 @@ def _domain(job, topic, *views):
 
 def _cross(*views):
     return [
-        View(name, "student_course_analytics", tuple(topics.split()), fn, students_only=True)
-        for name, topics, fn in views
+        View(
+            name,
+            "student_course_analytics",
+            tuple(topics.split()),
+            fn,
+            tuple(order.split()),
+            students_only=True,
+        )
+        for name, topics, fn, order in views
     ]
 
 
@@ -141,11 +148,23 @@ _ALL = [
         ("daily_activity", notification.daily_activity, "date event_type notification_type"),
         ("user_summary", notification.user_summary, "-overall_engagement_rate user_id"),
     ),
+    # Ordered by key for the point lookups that read them. Enrolment events may be
+    # exact copies, which no ordering can spread over tasks; they stay unordered.
     *_cross(
-        ("course_overview", "course video", cross_domain.course_overview),
-        ("student_overview", "course video assessment auth", cross_domain.student_overview),
-        ("student_course_enrollment", "course video", cross_domain.student_course_enrollment),
-        ("student_course_detailed", "course video", cross_domain.student_course_detailed),
+        ("course_overview", "course video", cross_domain.course_overview, "course_id"),
+        (
+            "student_overview",
+            "course video assessment auth",
+            cross_domain.student_overview,
+            "student_id",
+        ),
+        ("student_course_enrollment", "course video", cross_domain.student_course_enrollment, ""),
+        (
+            "student_course_detailed",
+            "course video",
+            cross_domain.student_course_detailed,
+            "student_id course_id",
+        ),
     ),
 ]
 

@@ -11,13 +11,18 @@ from lectern.functions.columns import event_time
 from lectern.schemas import EVENT, RAW, TOPICS
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None
+) -> DataFrame:
     """Parquet at `path`, or an empty frame where nothing has been written yet.
 
     Only a missing path counts as empty; every other failure is raised.
     """
+    reader = spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
+        return reader.parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -25,8 +30,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """Raw records of one topic; the filter prunes the other `topic=` directories."""
-    return read_or_empty(spark, root, RAW).where(F.col("topic") == topic)
+    """Raw records of one topic; empty if the topic or the whole root is missing.
+
+    Reads the topic's own directory, so the files of other topics are not even
+    listed.
+    """
+    root = root.rstrip("/")
+    return read_or_empty(spark, f"{root}/topic={topic}", RAW, base=root)
 
 
 def raw_envelope(broker: DataFrame) -> DataFrame:

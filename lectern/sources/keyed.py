@@ -109,33 +109,42 @@ def write_enrollment_tables(view: DataFrame, root: str) -> None:
     )
 
 
-def write_batch_of(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch under its own `batch_id` directory.
+def write_batch_of(rows: DataFrame, path: str, batch_id: int, time: str) -> None:
+    """Write one micro-batch below `day=` (of its `time` column) and `batch_id=`.
 
-    Only that directory is replaced, so a batch that is run again after a failure
-    overwrites its first attempt instead of adding to it.
+    Only those directories are replaced, so a batch that is run again after a
+    failure overwrites its first attempt instead of adding to it.
     """
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.withColumn("day", F.to_date(time))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("day", "batch_id")
         .parquet(path)
     )
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches below `path`, with their `batch_id`."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return read_or_empty(spark, path, with_batch)
+    """All micro-batches below `path`, with their `day` and `batch_id`."""
+    partitions = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return read_or_empty(spark, path, T.StructType([*schema.fields, *partitions]))
 
 
 def upsert(rows: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Insert rows under their primary key; `read_keyed` lets the newest batch win."""
-    write_batch_of(rows.where(_keys_present(SERVING_KEYS[table])), path, batch_id)
+    """Insert speed rows under their primary key; `read_keyed` lets the newest batch win."""
+    present = rows.where(_keys_present(SERVING_KEYS[table]))
+    write_batch_of(present, path, batch_id, "window_start")
 
 
-def read_keyed(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_keyed(
+    spark: SparkSession, path: str, table: str, since: Column | None = None
+) -> DataFrame:
+    """The table's rows, one per key. `since` reads only the days from that time on."""
     schema, keys = SERVING[table], SERVING_KEYS[table]
     stored = read_batches(spark, path, schema)
-    return newest(stored, keys, ["batch_id"]).select(*schema.names)
+    if since is not None:
+        stored = stored.where(
+            (F.col("day") >= since.cast("date")) & (F.col("window_start") >= since)
+        )
+    return newest(stored.drop("day"), keys, ["batch_id"]).select(*schema.names)

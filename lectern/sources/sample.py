@@ -1,12 +1,13 @@
 """Learning events derived from the generic `events` table, for checks and benchmarks.
 
 Every field is integer arithmetic on event_id, user_id and the number in props,
-so another SQL engine can derive the same rows. FIXTURES.md lists the rules.
+so another SQL engine can derive the same rows. FIXTURES.md lists the rules. They
+are SQL text here: hundreds of Column calls would cost more than the queries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.schemas import TOPICS, ddl
@@ -70,96 +71,103 @@ NOTIFICATION_TYPES = [
 ]
 
 
-def _pick(index: Column, items: list) -> Column:
-    return F.elt(index.cast("int") + 1, *[F.lit(i) for i in items])
+def _pick(index: str, items: list) -> str:
+    return f"elt(CAST({index} AS INT) + 1, {', '.join(map(repr, items))})"
 
 
-def _pad(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def _pad(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(CAST({number} AS STRING), {width}, '0'))"
 
 
-def derive(events: DataFrame) -> DataFrame:
-    """`events` rows (batch or stream) to raw records: key, value, topic, timestamp."""
-    e, u = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    m, q = e % 100, F.floor(e / 100)
-    domain = (
-        F.when(m < 15, "auth")
-        .when(m < 40, "assessment")
-        .when(m < 75, "video")
-        .when(m < 93, "course")
-        .when(m < 96, "profile")
-        .otherwise("notification")
-    )
-    kind = F.coalesce(
+def _in(column: str, *values: str) -> str:
+    return f"{column} IN ({', '.join(map(repr, values))})"
+
+
+def _when(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
+
+
+_DOMAIN = """CASE WHEN m < 15 THEN 'auth' WHEN m < 40 THEN 'assessment' WHEN m < 75 THEN 'video'
+    WHEN m < 93 THEN 'course' WHEN m < 96 THEN 'profile' ELSE 'notification' END"""
+
+_KIND = " ".join(
+    [
+        "CASE domain",
         *[
-            F.when(domain == name, _pick((q + m) % len(types), types))
+            f"WHEN '{name}' THEN {_pick(f'(q + m) % {len(types)}', types)}"
             for name, types in EVENT_TYPES.items()
-        ]
-    )
+        ],
+        "END",
+    ]
+)
 
-    base = events.select(
-        e.alias("e"), u.alias("u"), k.alias("k"), "ts", domain.alias("domain"), kind.alias("kind")
-    )
-    e, u, k, domain, kind = (F.col(c) for c in ("e", "u", "k", "domain", "kind"))
+_TEACHER = f"""{_in("kind", *TEACHER_TYPES)}
+    OR ({_in("domain", "auth", "profile", "notification")} AND u % 6 = 0)"""
+
+_IN_COURSE = f"""{_in("domain", "video", "course")} OR
+    (domain = 'assessment' AND NOT {_in("kind", "DELETE_ASSIGNMENT", "ASSIGNMENT_REOPENED")})"""
+
+_SECONDS = f"get(array({', '.join(map(str, WATCH_SECONDS))}), CAST(k % 7 AS INT))"
+
+_USER = f"IF(teacher, {_pad('GV', 'u % 10', 6)}, {_pad('SV', 'u', 6)})"
+
+# JSON fields of a record, in order; a field whose rule gives NULL is left out.
+_FIELDS = {
+    "event_category": "upper(domain)",
+    "event_type": "kind",
+    "user_id": _USER,
+    "role": "IF(teacher, 'teacher', 'student')",
+    "timestamp": "IF(e % 499 = 7, 'not-a-time', date_format(ts, 'yyyy-MM-dd HH:mm:ss'))",
+    "session_id": f"""CASE WHEN {_in("kind", "LOGIN", "LOGOUT")}
+        THEN concat('S', u, '-', dayofmonth(ts)) WHEN domain = 'video' THEN concat('V', e) END""",
+    "registration_source": _when("kind = 'SIGNUP'", _pick("k % 3", REGISTRATION_SOURCES)),
+    "course_id": _when(_IN_COURSE, _pad("COURSE", "k % 20 + 1", 3)),
+    "assignment_id": _when(
+        "domain = 'assessment' AND kind <> 'QUIZ_COMPLETED'",
+        _pad("ASM", "(u % 25) * 4 + k % 4 + 1", 3),
+    ),
+    "quiz_id": _when("kind = 'QUIZ_COMPLETED'", _pad("QUIZ", "k % 50 + 1", 3)),
+    "assignment_type": _when(
+        _in("kind", "VIEW_ASSIGNMENT_FIRST_TIME", "SUBMIT_ASSIGNMENT"),
+        _pick("k % 4", ASSIGNMENT_TYPES),
+    ),
+    "correct_answers": _when("kind = 'QUIZ_COMPLETED'", "5 + k % 46"),
+    "score": _when("kind = 'GRADE_ASSIGNMENT'", "40 + k % 61"),
+    "student_id": _when(
+        _in("kind", "VIEW_STUDENT_WORK", "GRADE_ASSIGNMENT", "ASSIGNMENT_REOPENED"),
+        _pad("SV", "(u + k) % 150", 6),
+    ),
+    "video_id": _when("domain = 'video'", _pad("VID", "(u + k) % 200 + 1", 3)),
+    "watch_duration_seconds": _when("domain = 'video'", _SECONDS),
+    "material_id": _when(
+        _in("kind", "ACCESS_COURSE_MATERIAL", "DOWNLOAD_MATERIAL"), "concat('MAT', k % 40 + 1)"
+    ),
+    "material_type": _when("kind = 'ACCESS_COURSE_MATERIAL'", _pick("k % 3", MATERIAL_TYPES)),
+    "resource_id": _when("kind = 'DOWNLOAD_MATERIAL'", "concat('RES', k % 40 + 1)"),
+    "field_name": _when("kind = 'UPDATE_PROFILE'", _pick("k % 4", PROFILE_FIELDS)),
+    "notification_type": _when("domain = 'notification'", _pick("k % 5", NOTIFICATION_TYPES)),
+    "notification_id": _when("domain = 'notification'", "concat('NOTIF', k)"),
+}
 
-    def when(types, value):
-        return F.when(kind.isin(types), value)
+_VALUE = f"to_json(named_struct({', '.join(f"'{n}', {rule}" for n, rule in _FIELDS.items())}))"
 
-    teacher = kind.isin(TEACHER_TYPES) | (
-        domain.isin("auth", "profile", "notification") & (u % 6 == 0)
-    )
-    text_time = F.when(e % 499 == 7, "not-a-time").otherwise(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    )
-    in_course = domain.isin("video", "course") | (
-        (domain == "assessment") & ~kind.isin("DELETE_ASSIGNMENT", "ASSIGNMENT_REOPENED")
+
+def derive(events: DataFrame) -> DataFrame:
+    """`events` rows (batch or stream) to raw records: key, value, topic, timestamp."""
+    numbers = events.selectExpr(
+        "event_id AS e",
+        "user_id AS u",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "event_id % 100 AS m",
+        "event_id DIV 100 AS q",
+        "ts",
     )
-    fields = {
-        "event_category": F.upper(domain),
-        "event_type": kind,
-        "user_id": F.when(teacher, _pad("GV", u % 10, 6)).otherwise(_pad("SV", u, 6)),
-        "role": F.when(teacher, "teacher").otherwise("student"),
-        "timestamp": text_time,
-        "session_id": when(
-            ["LOGIN", "LOGOUT"], F.concat(F.lit("S"), u, F.lit("-"), F.dayofmonth("ts"))
-        ).when(domain == "video", F.concat(F.lit("V"), e)),
-        "registration_source": when(["SIGNUP"], _pick(k % 3, REGISTRATION_SOURCES)),
-        "course_id": F.when(in_course, _pad("COURSE", k % 20 + 1, 3)),
-        "assignment_id": F.when(
-            (domain == "assessment") & (kind != "QUIZ_COMPLETED"),
-            _pad("ASM", (u % 25) * 4 + k % 4 + 1, 3),
-        ),
-        "quiz_id": when(["QUIZ_COMPLETED"], _pad("QUIZ", k % 50 + 1, 3)),
-        "assignment_type": when(
-            ["VIEW_ASSIGNMENT_FIRST_TIME", "SUBMIT_ASSIGNMENT"], _pick(k % 4, ASSIGNMENT_TYPES)
-        ),
-        "correct_answers": when(["QUIZ_COMPLETED"], 5 + k % 46),
-        "score": when(["GRADE_ASSIGNMENT"], 40 + k % 61),
-        "student_id": when(
-            ["VIEW_STUDENT_WORK", "GRADE_ASSIGNMENT", "ASSIGNMENT_REOPENED"],
-            _pad("SV", (u + k) % 150, 6),
-        ),
-        "video_id": F.when(domain == "video", _pad("VID", (u + k) % 200 + 1, 3)),
-        "watch_duration_seconds": F.when(
-            domain == "video", F.get(F.array(*[F.lit(s) for s in WATCH_SECONDS]), k % 7)
-        ),
-        "material_id": when(
-            ["ACCESS_COURSE_MATERIAL", "DOWNLOAD_MATERIAL"], F.concat(F.lit("MAT"), k % 40 + 1)
-        ),
-        "material_type": when(["ACCESS_COURSE_MATERIAL"], _pick(k % 3, MATERIAL_TYPES)),
-        "resource_id": when(["DOWNLOAD_MATERIAL"], F.concat(F.lit("RES"), k % 40 + 1)),
-        "field_name": when(["UPDATE_PROFILE"], _pick(k % 4, PROFILE_FIELDS)),
-        "notification_type": F.when(domain == "notification", _pick(k % 5, NOTIFICATION_TYPES)),
-        "notification_id": F.when(domain == "notification", F.concat(F.lit("NOTIF"), k)),
-    }
-    payload = F.to_json(F.struct(*[v.alias(n) for n, v in fields.items()]))
-    topic = F.concat(domain, F.lit("_topic"))
-    return base.select(
-        fields["user_id"].alias("key"),
-        F.when(e % 997 == 5, "{bad").otherwise(payload).alias("value"),
-        topic.alias("topic"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+    kinds = numbers.selectExpr("*", f"{_DOMAIN} AS domain").selectExpr("*", f"{_KIND} AS kind")
+    return kinds.selectExpr("*", f"{_TEACHER} AS teacher").selectExpr(
+        f"{_USER} AS key",
+        f"IF(e % 997 = 5, '{{bad', {_VALUE}) AS value",
+        "concat(domain, '_topic') AS topic",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
     )
 
 

@@ -61,7 +61,7 @@ def sinks(name: str, settings: Settings) -> list[Write]:
     """Append-style files and a keyed table for the view."""
     root = settings.root.rstrip("/")
     return [
-        lambda rows, batch: write_batch_of(rows, f"{root}/views/{name}", batch),
+        lambda rows, batch: write_batch_of(rows, f"{root}/views/{name}", batch, "start"),
         lambda rows, batch: upsert(conform_speed(rows, name), f"{root}/keyed/{name}", name, batch),
     ]
 
