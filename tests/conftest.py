@@ -16,7 +16,7 @@ def spark():
     os.environ["TZ"] = "UTC"
     builder = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
     )

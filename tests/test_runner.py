@@ -2,8 +2,9 @@ import shutil
 
 import pytest
 
-from lectern.plans import catalog, oracle, runner
+from lectern.plans import catalog, oracle, refresh, runner
 from lectern.plans.registry import JOBS, VIEWS, build_view
+from lectern.schemas import SERVING
 from lectern.sources.sample import raw_events, typed_topics
 from lectern.sources.views import read_view
 
@@ -62,3 +63,19 @@ def test_usage():
 def test_every_sql_twin_has_a_query():
     assert set(oracle.statements()) <= set(catalog.queries())
     assert set(VIEWS) <= set(oracle.statements())
+
+
+def test_serving_tables_from_stored_views(spark, master, tmp_path):
+    views, tables = str(tmp_path / "views"), str(tmp_path / "tables")
+    assert runner.run(spark, master, views, ["auth", "student_course_analytics"]).ok
+    refresh.refresh_tables(spark, views, tables, "2024-02-01 00:00:00")
+    for name in refresh.COPIED:
+        stored = spark.read.parquet(f"{tables}/{name}")
+        assert stored.count() == read_view(spark, views, name).count() > 0
+        assert stored.columns == SERVING[name].names
+    pairs = read_view(spark, views, "student_course_enrollment").select("student_id", "course_id")
+    for name in ("student_course_enrollment", "course_student_enrollment"):
+        assert spark.read.parquet(f"{tables}/{name}").count() == pairs.distinct().count()
+    row = refresh.system_summary(spark, views, str(tmp_path / "speed"), "2024-02-01").first()
+    assert row.current_active_users == 0 and row.speed_layer_status == "healthy"
+    assert row.total_students == spark.read.parquet(f"{tables}/student_overview").count()
