@@ -45,7 +45,7 @@ def run(
     view_root: str,
     jobs: Iterable[str] | None = None,
     typed_root: str | None = None,
-    parallel: int = 4,
+    parallel: int = 8,
     ordered: bool = True,
 ) -> Report:
     """Run jobs (all by default) in one session.

@@ -88,9 +88,10 @@ def typed_schema(name: str) -> T.StructType:
 def write_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str) -> int:
     """Decode one topic once into columnar Parquet; returns the rows written.
 
-    Each task orders its rows by event type, without a shuffle. Row groups then
-    hold few types each, so a view's `event_type` filter skips the others. The
-    row count is observed during the write instead of costing a second scan.
+    Each task orders its rows by event type, without a shuffle. Pages and row
+    groups then hold few types each, so a view's `event_type` filter skips the
+    others. The row count is observed during the write instead of costing a
+    second scan.
     """
     seen = Observation(f"typed_{name}")
     events = decode_topic(read_topic(spark, raw_root, TOPICS[name]), name)

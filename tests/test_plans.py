@@ -6,12 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions.keyed import lookup_join, newest, oldest
-from lectern.operators import cross_domain, video
 from lectern.plans import catalog
 from lectern.plans.registry import VIEWS, build_view
-from lectern.sources.events import read_typed, typed_path, typed_schema
-from lectern.sources.sample import derive, raw_events, typed_topics
-from lectern.sources.sample import SOURCE_SCHEMA
+from lectern.sources.events import read_typed, typed_path, write_typed
+from lectern.sources.sample import typed_topics
 
 
 def plan_of(df):
@@ -90,10 +88,6 @@ def skewed(spark, n=200_000):
     )
 
 
-def final_plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    df.collect()
-    return plan_of(df)
 
 
 def test_hot_keys_of_a_lookup_join_are_split(spark, conf):
@@ -138,3 +132,40 @@ def test_newest_and_oldest_combine_before_the_shuffle(spark):
     assert {(r.k, r.o, r.v) for r in last.collect()} == {("a", 2, "z"), ("b", None, "w")}
     assert {(r.k, r.v) for r in oldest(df, ["k"], ["o"]).collect()} == {("a", "x"), ("b", "w")}
     assert "partial_max" in plan_of(last) and "Window" not in plan_of(last)
+
+
+def scanned_rows(df):
+    """Rows the file scans of an executed frame produced."""
+    df.collect()
+    total = 0
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if "Scan" in name:
+            total += node.metrics().apply("numOutputRows").value()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_typed_layer_skips_other_event_types(spark, tmp_path):
+    kinds = [f"'KIND_{i}'" for i in range(10)]
+    json = f"""concat('{{"user_id":"u', id, '","event_type":"', elt(CAST(id % 10 AS INT) + 1, {', '.join(kinds)}), '"}}')"""
+    raw = spark.range(0, 400_000, 1, 1).selectExpr(
+        "CAST(id AS STRING) AS key",
+        f"{json} AS value",
+        "'auth_topic' AS topic",
+        "CAST(NULL AS TIMESTAMP) AS timestamp",
+    )
+    raw.write.partitionBy("topic").parquet(f"{tmp_path}/raw")
+    assert write_typed(spark, f"{tmp_path}/raw", f"{tmp_path}/typed", "auth") == 400_000
+    events = read_typed(spark, f"{tmp_path}/typed", "auth")
+    one = events.where("event_type = 'KIND_4'").agg(F.count_distinct("user_id"))
+    assert scanned_rows(one) <= 100_000
+    assert one.first()[0] == 40_000
