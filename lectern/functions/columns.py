@@ -16,7 +16,13 @@ def event_time(name: str = "timestamp") -> Column:
 
 
 def day(name: str = "timestamp_parsed") -> Column:
-    return F.date_format(name, "yyyy-MM-dd").alias("date")
+    """Grouping column `date`: a 4-byte day number; `day_as_text` makes it text."""
+    return F.to_date(name).alias("date")
+
+
+def day_as_text(view: DataFrame) -> DataFrame:
+    """`date` as yyyy-MM-dd text, formatted per result row rather than per event."""
+    return view.withColumn("date", F.col("date").cast("string"))
 
 
 def percent(part: Column, whole: Column) -> Column:

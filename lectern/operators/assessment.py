@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import day, hours, of_type, side, unmatched_null
+from lectern.functions.columns import day, day_as_text, hours, of_type, side, unmatched_null
 from lectern.functions.keyed import (
     lookup_join,
     pair_count,
@@ -119,7 +119,7 @@ def teacher_workload(assessment: DataFrame) -> DataFrame:
 
 
 def submission_distribution(assessment: DataFrame) -> DataFrame:
-    return (
+    return day_as_text(
         of_type(assessment, "SUBMIT_ASSIGNMENT")
         .groupBy(day(), "course_id", "assignment_type")
         .agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import count_if, day, of_type
+from lectern.functions.columns import count_if, day, day_as_text, of_type
 from lectern.functions.keyed import (
     lookup_join,
     pair_count,
@@ -18,7 +18,7 @@ from lectern.functions.keyed import (
 
 
 def daily_active_users(auth: DataFrame) -> DataFrame:
-    return (
+    return day_as_text(
         of_type(auth, "LOGIN")
         .groupBy(day())
         .agg(
@@ -29,7 +29,7 @@ def daily_active_users(auth: DataFrame) -> DataFrame:
 
 
 def hourly_login_patterns(auth: DataFrame) -> DataFrame:
-    return (
+    return day_as_text(
         of_type(auth, "LOGIN")
         .groupBy(day(), F.hour("timestamp_parsed").alias("hour"))
         .agg(F.count("user_id").alias("login_count"))
@@ -87,7 +87,7 @@ def user_activity_summary(auth: DataFrame) -> DataFrame:
 
 
 def registration_analytics(auth: DataFrame) -> DataFrame:
-    return (
+    return day_as_text(
         of_type(auth, "SIGNUP")
         .groupBy(day(), "registration_source", "role")
         .agg(F.count("user_id").alias("new_signups"))

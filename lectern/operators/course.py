@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import count_if, day, of_type, unmatched_null
+from lectern.functions.columns import count_if, day, day_as_text, of_type, unmatched_null
 
 
 def enrollment_stats(course: DataFrame) -> DataFrame:
-    return (
+    return day_as_text(
         of_type(course, "COURSE_ENROLLED")
         .groupBy(day(), "course_id")
         .agg(
@@ -90,9 +90,11 @@ def activity_summary(course: DataFrame) -> DataFrame:
 
 
 def daily_engagement(course: DataFrame) -> DataFrame:
-    return course.groupBy(day(), "course_id", "event_type").agg(
-        F.countDistinct("user_id").alias("unique_users"),
-        F.count("user_id").alias("event_count"),
+    return day_as_text(
+        course.groupBy(day(), "course_id", "event_type").agg(
+            F.countDistinct("user_id").alias("unique_users"),
+            F.count("user_id").alias("event_count"),
+        )
     )
 
 

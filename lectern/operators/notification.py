@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import count_if, day, of_type, percent, unmatched_null
+from lectern.functions.columns import count_if, day, day_as_text, of_type, percent, unmatched_null
 
 SENT = "NOTIFICATION_SENT"
 CLICKED = "NOTIFICATION_CLICKED"
@@ -75,9 +75,11 @@ def user_preferences(notification: DataFrame) -> DataFrame:
 
 
 def daily_activity(notification: DataFrame) -> DataFrame:
-    return notification.groupBy(day(), "event_type", "notification_type").agg(
-        F.countDistinct("user_id").alias("unique_users"),
-        F.count("notification_id").alias("event_count"),
+    return day_as_text(
+        notification.groupBy(day(), "event_type", "notification_type").agg(
+            F.countDistinct("user_id").alias("unique_users"),
+            F.count("notification_id").alias("event_count"),
+        )
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import day, of_type
+from lectern.functions.columns import day, day_as_text, of_type
 
 
 def update_frequency(profile: DataFrame) -> DataFrame:
@@ -44,7 +44,9 @@ def avatar_changes(profile: DataFrame) -> DataFrame:
 
 
 def daily_activity(profile: DataFrame) -> DataFrame:
-    return profile.groupBy(day(), "event_type").agg(
-        F.countDistinct("user_id").alias("unique_users"),
-        F.count("user_id").alias("event_count"),
+    return day_as_text(
+        profile.groupBy(day(), "event_type").agg(
+            F.countDistinct("user_id").alias("unique_users"),
+            F.count("user_id").alias("event_count"),
+        )
     )

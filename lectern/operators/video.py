@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import day, hours, of_type, percent
+from lectern.functions.columns import day, day_as_text, hours, of_type, percent
 from lectern.functions.keyed import lookup_join
 
 SECONDS = "watch_duration_seconds"
@@ -60,7 +60,7 @@ def popularity(video: DataFrame) -> DataFrame:
 
 def daily_engagement(video: DataFrame) -> DataFrame:
     total = F.sum(SECONDS)
-    return (
+    return day_as_text(
         of_type(video, "VIDEO_WATCHED")
         .groupBy(day(), "course_id")
         .agg(

@@ -148,8 +148,8 @@ _ALL = [
         ("daily_activity", notification.daily_activity, "date event_type notification_type"),
         ("user_summary", notification.user_summary, "-overall_engagement_rate user_id"),
     ),
-    # Ordered by key for the point lookups that read them. Enrolment events may be
-    # exact copies, which no ordering can spread over tasks; they stay unordered.
+    # Enrolment events may be exact copies, which no ordering can spread over tasks;
+    # they stay unordered.
     *_cross(
         ("course_overview", "course video", cross_domain.course_overview, "course_id"),
         (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lectern.plans.registry import VIEWS, build_view, view_path
+from lectern.plans.registry import VIEWS, build_view, sort_columns, view_path
 from lectern.schemas import EVENT
 from lectern.sources.events import read_or_empty, typed_schema
 
@@ -21,6 +21,8 @@ def view_schema(spark: SparkSession, name: str) -> T.StructType:
     return build_view(name, empty.__getitem__, ordered=False).schema
 
 
-def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored view; empty with the right columns if it was never written."""
-    return read_or_empty(spark, view_path(root, VIEWS[name].name), view_schema(spark, name))
+def read_view(spark: SparkSession, root: str, name: str, ordered: bool = False) -> DataFrame:
+    """A stored view, in the view's order on request; empty if it was never written."""
+    stored = read_or_empty(spark, view_path(root, name), view_schema(spark, name))
+    order = VIEWS[name].order
+    return stored.orderBy(*sort_columns(order)) if ordered and order else stored

@@ -79,3 +79,11 @@ def test_serving_tables_from_stored_views(spark, master, tmp_path):
     row = refresh.system_summary(spark, views, str(tmp_path / "speed"), "2024-02-01").first()
     assert row.current_active_users == 0 and row.speed_layer_status == "healthy"
     assert row.total_students == spark.read.parquet(f"{tables}/student_overview").count()
+
+
+def test_views_are_ordered_when_read(spark, master, tmp_path):
+    views = str(tmp_path / "views")
+    assert runner.run(spark, master, views, ["video"]).ok
+    rows = read_view(spark, views, "video_drop_off_indicators", ordered=True).collect()
+    keys = [(r.avg_watch_duration, r.video_id, r.course_id) for r in rows]
+    assert keys == sorted(keys) and len(keys) > 100
