@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -36,11 +38,13 @@ def is_running(query: StreamingQuery) -> tuple[bool, str]:
 class ProgressListener(StreamingQueryListener):
     """Collects a row per micro-batch of every query of the session.
 
-    Keeps the last `keep` rows: a report on running queries, not a log.
+    Keeps the last `keep` rows: a report on running queries, not a log. `report`
+    is called with each row as it arrives.
     """
 
-    def __init__(self, keep: int = 1000):
+    def __init__(self, keep: int = 1000, report: Callable[[tuple], None] | None = None):
         self.keep = keep
+        self.report = report
         self.rows: list[tuple] = []
         self.ended: list[tuple[str, str | None]] = []
 
@@ -48,7 +52,10 @@ class ProgressListener(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):
-        self.rows = [*self.rows, _row(event.progress)][-self.keep :]
+        row = _row(event.progress)
+        self.rows = [*self.rows, row][-self.keep :]
+        if self.report:
+            self.report(row)
 
     def onQueryIdle(self, event):
         pass

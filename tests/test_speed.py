@@ -190,7 +190,8 @@ def test_master_dataset_sink(spark, feed, tmp_path):
 
 
 def test_progress_listener(spark, feed, tmp_path):
-    listener = progress.ProgressListener(keep=2)
+    reported = []
+    listener = progress.ProgressListener(keep=2, report=reported.append)
     spark.streams.addListener(listener)
     try:
         feed("course", [{"course_id": "c", "timestamp": "2024-01-01 10:00:00"}])
@@ -201,7 +202,7 @@ def test_progress_listener(spark, feed, tmp_path):
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
-    assert listener.rows and len(listener.rows) <= 2
+    assert listener.rows and len(listener.rows) <= 2 and reported[-1] == listener.rows[-1]
     frame = listener.frame(spark)
     assert frame.first()["query"] == "speed_course_popularity"
 
