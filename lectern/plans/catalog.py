@@ -7,8 +7,6 @@ newest event time in the data.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,6 +21,7 @@ from lectern.schemas import TOPICS
 from lectern.sources import keyed
 from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
+from lectern.sources.scratch import shared_folder
 from lectern.sources.streams import master_sink
 from lectern.sources.views import read_view
 from lectern.streaming import speed as streams
@@ -116,17 +115,6 @@ WINDOWED: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's `spark.checkpoint.dir`.
-
-    Local test sessions have no such setting and get a folder of their own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="lectern-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
 def _streamed(name: str, length: str, slide: str = "30 seconds") -> Query:
     """Run the streaming view itself over the events table, until it is worked off."""
 
