@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import (
+    line_dedup,
     mixing,
+    simhash,
     url_filter,
 )
 
 _MODULES = {
     "op1_url_filter": url_filter,
+    "op4_line_dedup": line_dedup,
+    "op5_simhash_near_dedup": simhash,
     "op6_mix_sources": mixing,
 }
 
