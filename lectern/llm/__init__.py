@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import (
+    bpe,
+    html_text,
     line_dedup,
     mixing,
     simhash,
@@ -19,6 +21,8 @@ from lectern.llm import (
 
 _MODULES = {
     "op1_url_filter": url_filter,
+    "op2_html_text": html_text,
+    "op3_bpe": bpe,
     "op4_line_dedup": line_dedup,
     "op5_simhash_near_dedup": simhash,
     "op6_mix_sources": mixing,
