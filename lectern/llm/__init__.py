@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lectern.llm import (
     bpe,
     html_text,
+    language,
     line_dedup,
     mixing,
     simhash,
@@ -26,6 +27,7 @@ _MODULES = {
     "op4_line_dedup": line_dedup,
     "op5_simhash_near_dedup": simhash,
     "op6_mix_sources": mixing,
+    "op8_language": language,
 }
 
 
