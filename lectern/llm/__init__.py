@@ -18,6 +18,7 @@ from lectern.llm import (
     mixing,
     simhash,
     url_filter,
+    winnowing,
 )
 
 _MODULES = {
@@ -27,6 +28,7 @@ _MODULES = {
     "op4_line_dedup": line_dedup,
     "op5_simhash_near_dedup": simhash,
     "op6_mix_sources": mixing,
+    "op7_winnowing": winnowing,
     "op8_language": language,
 }
 
