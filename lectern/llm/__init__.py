@@ -16,6 +16,7 @@ from lectern.llm import (
     language,
     line_dedup,
     mixing,
+    neighbours,
     simhash,
     url_filter,
     winnowing,
@@ -30,6 +31,7 @@ _MODULES = {
     "op6_mix_sources": mixing,
     "op7_winnowing": winnowing,
     "op8_language": language,
+    "op9_neighbours": neighbours,
 }
 
 
