@@ -81,7 +81,10 @@ class Bpe:
             (self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b])
             for rank, (a, b) in enumerate(self.merges)
         }
+        self.pair_ranks = {a << 20 | b: rank for (a, b), (rank, _) in self.ranks.items()}
+        self.made = [self.vocab[a + b] for a, b in self.merges]
         self.symbols = byte_symbols()
+        self.byte_of = {s: b for b, s in enumerate(self.symbols)}
         self.inner = [self.vocab[s] for s in self.symbols]
         self.last = [self.vocab[s + WORD_END] for s in self.symbols]
         pattern = read["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -89,7 +92,8 @@ class Bpe:
         self.runs = (regex.compile(r"[\p{L}]+"), regex.compile(r"[^\s\p{L}\p{N}]+"))
         marks = sorted(self.specials, key=len, reverse=True)
         self.special_marks = regex.compile("|".join(map(regex.escape, marks))) if marks else None
-        self.remembered: dict[str, tuple[int, str, str]] = {}
+        self.remembered: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
         self._check()
 
     def _check(self) -> None:
@@ -119,20 +123,23 @@ class Bpe:
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges, lowest rank and then leftmost first."""
-        ranks = self.ranks
         n = len(ids)
         if n < 2:
             return ids
-        if n <= 24:
-            while len(ids) > 1:
-                best = min(
-                    ((ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks), default=None
-                )
-                if best is None:
-                    break
-                at = best[1]
-                ids = [*ids[:at], ranks[ids[at], ids[at + 1]][1], *ids[at + 2 :]]
+        if n <= 40:
+            pairs, made, none = self.pair_ranks.get, self.made, len(self.merges)
+            ids = list(ids)
+            ranks = [pairs(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+            while ranks and (best := min(ranks)) < none:
+                at = ranks.index(best)
+                ids[at] = made[best]
+                del ids[at + 1], ranks[at]
+                if at:
+                    ranks[at - 1] = pairs(ids[at - 1] << 20 | ids[at], none)
+                if at < len(ranks):
+                    ranks[at] = pairs(ids[at] << 20 | ids[at + 1], none)
             return ids
+        ranks = self.ranks
         ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
@@ -300,7 +307,6 @@ class Decoder:
     def __init__(self, bpe: Bpe, joined: bool = True):
         self.bpe, self.joined, self.begun = bpe, joined, False
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
-        self.bytes = {s: b for b, s in enumerate(bpe.symbols)}
 
     def feed(self, ids: Iterable[int]) -> str:
         data = bytearray()
@@ -311,7 +317,7 @@ class Decoder:
             elif i in self.bpe.specials.values():
                 data += name.encode()
             else:
-                data += bytes(self.bytes[c] for c in name.removesuffix(WORD_END))
+                data += bytes(self.bpe.byte_of[c] for c in name.removesuffix(WORD_END))
                 data += b" " * name.endswith(WORD_END)
             self.begun = True
         return self.state.decode(bytes(data))
@@ -338,24 +344,26 @@ def digests(bpe: Bpe, text: str | None) -> tuple[int, str, str]:
 
 def _short_digests(bpe: Bpe, text: str) -> tuple[int, str, str]:
     """The same for a text of one slice, from remembered pieces."""
-    known = bpe.remembered
     pieces = bpe.pieces.findall(bpe.lower(text))
-    found = []
-    for piece in pieces:
-        entry = known.get(piece)
-        if entry is None:
-            ids = bpe.piece(piece) if len(piece) <= LONG else Encoder(bpe)._whole(piece)
-            entry = (len(ids), " ".join(map(str, ids)), Decoder(bpe).feed(ids))
-            if len(piece) <= 64:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[piece] = entry
-        found.append(entry)
-    return (
-        sum(e[0] for e in found),
-        hashlib.sha256(" ".join([e[1] for e in found]).encode()).hexdigest(),
-        hashlib.sha256(" ".join([e[2] for e in found]).encode()).hexdigest(),
-    )
+    found = list(map(bpe.remembered.get, pieces))
+    if None in found:
+        found = [entry or _entry(bpe, piece) for entry, piece in zip(found, pieces)]
+    ids, names = map(" ".join, zip(*found)) if found else ("", "")
+    count = ids.count(" ") + 1 if ids else 0
+    return count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(names.encode()).hexdigest()
+
+
+def _entry(bpe: Bpe, piece: str) -> tuple[str, str]:
+    """The ids and the decoded text of a piece. Of the pieces met the last ones are remembered."""
+    entry = bpe.remembered.get(piece) or bpe.older.get(piece)
+    if entry is None:
+        ids = bpe.piece(piece) if len(piece) <= LONG else Encoder(bpe)._whole(piece)
+        entry = (" ".join(map(str, ids)), Decoder(bpe).feed(ids))
+    if len(piece) <= 64:
+        if len(bpe.remembered) >= REMEMBERED:
+            bpe.older, bpe.remembered = bpe.remembered, {}
+        bpe.remembered[piece] = entry
+    return entry
 
 
 @lru_cache(maxsize=4)
