@@ -14,6 +14,14 @@ reached gives at most one link per fingerprint, which keeps all reachability. Bu
 many near copies are cut into chunks, and each two chunks are searched by one task.
 Classes come from star contraction over stored links.
 
+`near_duplicates` links on the fingerprint alone. `similar_documents` links texts of at
+least a given share of common word shingles: it blocks on a fingerprint of the distinct
+words, which moves little between near copies, and verifies with the Hamming distance of
+a longer fingerprint of the shingles. The share of bits in which two such fingerprints
+differ is the angle between their shingle vectors, so the threshold follows from the
+similarity. With 256 bits that estimate is off by 0.03 or so; the threshold leans to
+linking, so pairs from 0.7 on may be linked and pairs below 0.6 are not.
+
 Defined cases: null text and text without words have fingerprint zero; fewer words than
 a shingle are one shingle; a row with null doc_id gets its fingerprint, a null class, and
 links nothing; repeated rows share a class; an empty table stays empty.
@@ -23,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import acos, comb, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -36,22 +44,52 @@ from lectern.sources.scratch import stored
 
 SHINGLE, DISTANCE, BITS = 3, 3, 64
 CHUNK = 50_000
+# For similar_documents: words of a shingle, share of common shingles, distance of blocks.
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_DISTANCE, CHECK_LONGS = 5, 0.8, 6, 4
+GOLD = 0x4F1BBCDCBFA53E0B
+#: A row through the shuffle costs as much as comparing it with so many others.
+COMPARED = 128
 
 
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text, as a signed 64-bit number."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
+
+
+def _hashes(words: list[bytes], shingle: int, distinct: bool = False) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles; of fewer words all are one."""
     digest = xxhash.xxh64_intdigest
     runs = zip(*(words[i:] for i in range(shingle))) if len(words) >= shingle else [words]
-    hashes = np.fromiter((digest(b" ".join(run), 42) for run in runs), np.uint64)
-    ones = np.zeros(BITS, np.int64)
+    joined = map(b" ".join, runs)
+    return np.fromiter((digest(run, 42) for run in (set(joined) if distinct else joined)), np.uint64)
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """For each column of 64-bit hashes the bits that over half of them have."""
+    ones = np.zeros((hashes.shape[1], BITS), np.int64)
     for start in range(0, len(hashes), 1 << 14):
-        part = hashes[start : start + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    packed = np.packbits(2 * ones > len(hashes), bitorder="little")
-    return int(packed.view(np.int64)[0])
+        part = np.ascontiguousarray(hashes[start : start + (1 << 14)])
+        bits = np.unpackbits(part.view(np.uint8).reshape(*part.shape, 8), axis=2, bitorder="little")
+        ones += bits.sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view(np.int64)[:, 0]
+
+
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of a text, as a signed 64-bit number."""
+    words = _words(text)
+    return int(majority(_hashes(words, shingle)[:, None])[0]) if words else 0
+
+
+def long_fingerprint_of(text: str | None, shingle: int, longs: int = CHECK_LONGS) -> list[int]:
+    """A 64-bit SimHash of the distinct words, then a longer one of the shingles."""
+    words = _words(text)
+    if not words:
+        return [0] * (1 + longs)
+    each = _hashes(words, shingle, distinct=True)[:, None]
+    with np.errstate(over="ignore"):
+        wide = (each ^ each >> np.uint64(31)) * (np.arange(longs, dtype=np.uint64) * np.uint64(2 * GOLD) + np.uint64(GOLD))
+        wide = (wide ^ wide >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        wide ^= wide >> np.uint64(32)
+    return [int(x) for x in (*majority(_hashes(words, 1, distinct=True)[:, None]), *majority(wide))]
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -65,10 +103,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def block_count(distinct: int, distance: int = DISTANCE) -> int:
-    """The fewest blocks for which unrelated fingerprints hardly meet."""
+    """The fewest blocks for which a fingerprint meets few unrelated ones."""
     for blocks in range(distance + 2, BITS + 1):
         shared = BITS * (blocks - distance) // blocks
-        if distinct * comb(blocks, distance) <= 4 * 2**shared:
+        if distinct * comb(blocks, distance) <= COMPARED * 2**shared:
             return blocks
     return BITS
 
@@ -85,10 +123,26 @@ def block_keys(print_: Column, distance: int, blocks: int) -> Column:
     return F.array(*keys)
 
 
-def spanning_links(prints: np.ndarray, distance: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
+def check_distance(similarity: float, longs: int = CHECK_LONGS) -> int:
+    """In how many bits fingerprints of texts with this share of common shingles differ.
+
+    Nearly all of them: the expected number and one and a half standard deviations.
+    """
+    bits, share = BITS * longs, acos(2 * similarity / (1 + similarity)) / pi
+    return round(bits * share + 1.5 * sqrt(bits * share * (1 - share)))
+
+
+def spanning_links(
+    prints: np.ndarray,
+    distance: int,
+    left: np.ndarray | None = None,
+    checks: np.ndarray | None = None,
+    most: int = 0,
+) -> list[tuple[int, int]]:
     """Links (by place) that keep all reachability within a bucket.
 
-    With `left`, only those between a member of it and another count.
+    With `left`, only those between a member of it and another count; with `checks`, the
+    longer fingerprints differ in `most` bits at most, too.
     """
     rest, found = np.arange(len(prints)), []
     while len(rest) > 1:
@@ -98,6 +152,9 @@ def spanning_links(prints: np.ndarray, distance: int, left: np.ndarray | None =
             near = np.bitwise_count(prints[rest] ^ prints[node]) <= distance
             if left is not None:
                 near &= left[rest] != left[node]
+            if checks is not None and near.any():
+                at = np.flatnonzero(near)
+                near[at] = np.bitwise_count(checks[rest[at]] ^ checks[node]).sum(1) <= most
             reached = rest[near]
             found += [(node, other) for other in reached]
             queue += list(reached)
@@ -105,14 +162,14 @@ def spanning_links(prints: np.ndarray, distance: int, left: np.ndarray | None =
     return found
 
 
-def _search(distance: int):
-    columns = ["table", "key", "low", "high", "chunk", "fingerprint", "rep"]
+def _search(distance: int, checks: list[str], most: int):
+    columns = ["table", "key", "low", "high", "chunk", "fingerprint", "rep", *checks]
 
     def links_of(group: np.ndarray) -> np.ndarray:
         left = group[:, 4] == group[:, 2] if group[0, 2] != group[0, 3] else None
-        prints = np.ascontiguousarray(group[:, 5]).view(np.uint64)
-        pairs = np.array(spanning_links(prints, distance, left), int).reshape(-1, 2)
-        return group[:, 6][pairs]
+        unsigned = np.ascontiguousarray(group).view(np.uint64)
+        pairs = spanning_links(unsigned[:, 5], distance, left, unsigned[:, 7:] if checks else None, most)
+        return group[:, 6][np.array(pairs, int).reshape(-1, 2)]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows sorted by bucket; the last bucket of a batch waits for the next batch."""
@@ -131,54 +188,89 @@ def _search(distance: int):
     return search
 
 
-def near_links(nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK, blocks: int | None = None) -> DataFrame:
-    """Links (u, v) that connect the ids `rep` of distinct fingerprints as all links would."""
+def near_links(
+    nodes: DataFrame,
+    distance: int = DISTANCE,
+    chunk: int = CHUNK,
+    blocks: int | None = None,
+    similarity: float | None = None,
+) -> DataFrame:
+    """Links (u, v) that connect the ids `rep` of distinct fingerprints as all links would.
+
+    Columns of `nodes` besides fingerprint and rep are the longer fingerprint, for
+    `similarity`.
+    """
     blocks = blocks or block_count(nodes.count(), distance)
+    checks = [c for c in nodes.columns if c not in ("fingerprint", "rep")]
     keyed = nodes.select(
-        "fingerprint", "rep", F.inline(block_keys(F.col("fingerprint"), distance, blocks))
+        "fingerprint", "rep", *checks, F.inline(block_keys(F.col("fingerprint"), distance, blocks))
     )
     sizes = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     dealt = (
         keyed.join(sizes, ["table", "key"])
-        .withColumn("chunk", F.pmod(F.xxhash64("fingerprint"), chunks).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .select(
-            "table", "key", "chunk", "fingerprint", "rep",
+            "table", "key", "chunk", "fingerprint", "rep", *checks,
             F.least("chunk", "other").alias("low"),
             F.greatest("chunk", "other").alias("high"),
         )
     )
     at = ["table", "key", "low", "high"]
+    most = check_distance(similarity, len(checks)) if similarity else 0
     return (
         dealt.repartition(*at)
         .sortWithinPartitions(*at)
-        .mapInPandas(_search(distance), "u long, v long")
+        .mapInPandas(_search(distance, checks, most), "u long, v long")
     )
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, chunk: int = CHUNK
-) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of all rows; the class is its smallest doc_id."""
-    prints = stored(fingerprints(docs, shingle), "simhash")
+def _classes(prints: DataFrame, names: list[str], **options) -> DataFrame:
+    """`prints` (doc_id and the columns `names`) with component_id."""
     nodes = stored(
-        prints.filter("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("rep")),
-        "simhash",
+        prints.filter("doc_id IS NOT NULL").groupBy(*names).agg(F.min("doc_id").alias("rep")), "simhash"
     )
-    found = components(near_links(nodes, distance, chunk))
+    found = components(near_links(nodes, **options))
     classes = nodes.join(found, nodes["rep"] == found["node"], "left").select(
-        "fingerprint", F.coalesce("component", "rep").alias("class")
+        *names, F.coalesce("component", "rep").alias("class")
     )
     known = F.when(F.col("doc_id").isNotNull(), F.col("class"))
-    return prints.join(classes, "fingerprint", "left").select(
-        "doc_id", "fingerprint", known.alias("component_id")
-    )
+    return prints.join(classes, names, "left").withColumn("component_id", known)
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, chunk: int = CHUNK
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of all rows; the class is its smallest doc_id."""
+    prints = stored(fingerprints(docs, shingle), "simhash")
+    classes = _classes(prints, ["fingerprint"], distance=distance, chunk=chunk)
+    return classes.select("doc_id", "fingerprint", "component_id")
+
+
+def similar_documents(
+    docs: DataFrame,
+    shingle: int = SIMILAR_SHINGLE,
+    similarity: float = SIMILARITY,
+    distance: int = SIMILAR_DISTANCE,
+    chunk: int = CHUNK,
+) -> DataFrame:
+    """(doc_id, component_id) of all rows, linked from `similarity` of common shingles on."""
+    names = ["fingerprint", *(f"check{i}" for i in range(CHECK_LONGS))]
+
+    @F.pandas_udf(", ".join(f"{n} long" for n in names))
+    def simhash(texts: pd.Series) -> pd.DataFrame:
+        rows = [long_fingerprint_of(t, shingle) for t in texts]
+        return pd.DataFrame(np.array(rows, np.int64).reshape(-1, len(names)), columns=names)
+
+    prints = stored(docs.select("doc_id", simhash(F.col("text")).alias("p")).select("doc_id", "p.*"), "simhash")
+    classes = _classes(prints, names, distance=distance, chunk=chunk, similarity=similarity)
+    return classes.select("doc_id", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest doc_id; rows without an id stay."""
-    first = near_duplicates(docs, **options).filter("doc_id = component_id").select("doc_id").distinct()
+    first = classes.filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*[f"`{c}`" for c in docs.columns]).union(docs.filter("doc_id IS NULL"))
 

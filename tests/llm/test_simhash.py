@@ -4,7 +4,7 @@ import pytest
 import xxhash
 
 from lectern.llm.components import components
-from lectern.llm.simhash import block_count, drop_near_duplicates, near_duplicates, near_links
+from lectern.llm.simhash import block_count, near_duplicates, near_links, one_of_each, similar_documents
 
 MASK = (1 << 64) - 1
 
@@ -51,7 +51,7 @@ def test_documents_like_brute_force(spark):
     assert [got[i]["fingerprint"] & MASK for i in range(len(texts))] == prints
     classes = brute_classes(prints)
     assert [got[i]["component_id"] for i in range(len(texts))] == classes
-    kept = drop_near_duplicates(docs.selectExpr("doc_id", "text", "1 AS component_id"))
+    kept = one_of_each(docs.selectExpr("doc_id", "text", "1 AS component_id"), near_duplicates(docs))
     assert kept.columns == ["doc_id", "text", "component_id"]
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(classes))
 
@@ -88,8 +88,37 @@ def test_defined_cases(spark):
     docs = spark.createDataFrame([(None, "x"), (4, "x"), (4, "x"), (2, None)], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["component_id"]) for r in near_duplicates(docs).collect())
     assert got == [(0, None), (2, 2), (4, 4), (4, 4)]
-    assert sorted(r["doc_id"] or 0 for r in drop_near_duplicates(docs).collect()) == [0, 2, 4]
+    assert sorted(r["doc_id"] or 0 for r in one_of_each(docs, near_duplicates(docs)).collect()) == [0, 2, 4]
 
 
 def test_blocks_follow_the_number_of_fingerprints():
     assert block_count(10) == 5 and block_count(10**10) > 5
+
+
+def test_similar_documents(spark):
+    """Near copies are linked, texts with half their shingles in common are not."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("aeioutrns") for _ in range(7))
+    texts, kinds = [], []
+    for kind in range(30):
+        base = [word() for _ in range(300)]
+        copies = [base]
+        for edits in (1, 3, 5):
+            copy = list(base)
+            for at in rng.sample(range(300), edits):
+                copy[at] = word()
+            copies.append(copy)
+        copies.append(base[:150] + [word() for _ in range(150)])  # shares half
+        for n, copy in enumerate(copies):
+            texts.append(" ".join(copy))
+            kinds.append((kind, n == 4))
+    texts += [texts[0], None, "", "a b", "b a"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(docs, chunk=4).collect()}
+    first = {}
+    for i, k in enumerate(kinds):
+        first.setdefault(k, i)
+    wrong = [i for i, k in enumerate(kinds) if got[i] != first[k]]
+    assert len(wrong) <= 2, wrong
+    n = len(kinds)
+    assert [got[i] for i in range(n, n + 5)] == [0, n + 1, n + 1, n + 3, n + 4]
