@@ -17,6 +17,7 @@ from lectern.llm import (
     line_dedup,
     mixing,
     neighbours,
+    repeats,
     simhash,
     url_filter,
     winnowing,
@@ -32,6 +33,7 @@ _MODULES = {
     "op7_winnowing": winnowing,
     "op8_language": language,
     "op9_neighbours": neighbours,
+    "op10_repeats": repeats,
 }
 
 
