@@ -42,7 +42,11 @@ def normalise_dates(df: DataFrame) -> DataFrame:
         if not any(part in field.name.lower() for part in DATE_NAME_PARTS):
             return F.col(field.name)
         value = F.col(field.name)
-        if isinstance(field.dataType, T.NumericType):  # nanoseconds since 1970
+        if isinstance(field.dataType, T.IntegralType):  # nanoseconds since 1970
+            below = F.when(F.pmod(value, F.lit(1000)) != value % 1000, 1).otherwise(0)
+            whole = F.call_function("div", value, F.lit(1000)) - below
+            value = F.timestamp_micros(whole)
+        elif isinstance(field.dataType, T.NumericType):
             value = F.timestamp_micros(F.floor(value / 1000).cast("bigint"))
         text = F.date_format(value.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
         return F.coalesce(text, F.lit("")).alias(field.name)
@@ -88,10 +92,12 @@ def retained(raw: DataFrame, as_of: AsOf) -> DataFrame:
     """Records young enough for their topic, by broker time.
 
     Plain comparisons on the partition column and the broker time, so whole
-    directories and row groups are skipped.
+    directories and row groups are skipped. A record without a topic is of no listed
+    topic, and one without a broker time is not known to be old: both stay.
     """
     now = moment(as_of)
-    keep = ~F.col("topic").isin(*RETENTION_DAYS)
+    keep = F.col("topic").isNull() | F.col("timestamp").isNull()
+    keep = keep | ~F.col("topic").isin(*RETENTION_DAYS)
     for topic, days in RETENTION_DAYS.items():
         cutoff = now - F.make_dt_interval(days=F.lit(days))
         keep = keep | ((F.col("topic") == topic) & (F.col("timestamp") >= cutoff))
@@ -114,6 +120,18 @@ def event_mix(raw: DataFrame) -> DataFrame:
     )
 
 
+def topic_freshness(
+    raw: DataFrame, as_of: AsOf, recent_seconds: int = RECENT_SECONDS["master"]
+) -> DataFrame:
+    """Per topic its records, the newest broker time, and how many records are recent."""
+    age = F.unix_timestamp(moment(as_of)) - F.unix_timestamp("timestamp")
+    return raw.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.max("timestamp").alias("newest"),
+        F.count(F.when(age < recent_seconds, 1)).alias("recent_records"),
+    )
+
+
 def data_files(spark: SparkSession, root: str) -> DataFrame:
     """Path, size and modification time of the data files under `root`.
 

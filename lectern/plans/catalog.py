@@ -89,7 +89,6 @@ def _encoded_quizzes(i: Inputs) -> DataFrame:
 
 INGEST: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingest_raw_envelope": _broker_rows,
-    "ingest_topic_read": lambda i: i.raw().where(F.col("topic") == "course_topic"),
     "ingest_encode_quizzes": _encoded_quizzes,
     **{
         f"ingest_decode_{name}": (lambda i, name=name: i.topic(name))
@@ -172,16 +171,40 @@ def _exported(fmt: str) -> Query:
     return query
 
 
+def _streamed_within(length: str) -> Query:
+    """The approximate stream beside its exact batch form: a row per window of either, with
+    whether the count is within three standard errors of the sketch, or one user."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        keys = ["window_start", "window_end"]
+        stored = _streamed("active_users", length)(spark, sf_dir).select(
+            *keys, F.col("active_users").alias("near")
+        )
+        events = Inputs(spark, sf_dir).stream_events()
+        exact = speed.closed_windows(
+            speed.active_users(events, length, exact=True), events.where(F.col("event_type") == "LOGIN")
+        )
+        exact = as_ntz(exact).select(F.col("start").alias("window_start"), F.col("end").alias("window_end"), "active_users")
+        off = F.abs(F.col("near") - F.col("active_users"))
+        within = off <= F.greatest(F.lit(1.0), 3 * 0.05 * F.col("active_users"))
+        return stored.join(exact, keys, "full").select(
+            *keys, F.coalesce(within, F.lit(False)).alias("within")
+        )
+
+    return query
+
+
 STREAMED: dict[str, Query] = {
     "ingest_master_dataset": _ingested,
     "batch_run_notifications": _run_job("profile_notification", "notification_user_summary"),
     "batch_run_student_courses": _run_job("student_course_analytics", "student_course_detailed"),
     "records_export_json": _exported("json"),
     "records_export_parquet": _exported("parquet"),
-    "audit_freshness": lambda spark, sf_dir: records.freshness(
-        spark, {"master": sf_dir}, "2099-01-01"
+    "records_export_csv": _exported("csv"),
+    "ingest_topic_read": lambda spark, sf_dir: as_ntz(
+        read_topic(spark, _master(spark, sf_dir), TOPICS["course"])
     ),
-    "stream_active_users": _streamed("active_users", "1 minute"),
+    "stream_active_users": _streamed_within("1 minute"),
     "stream_course_popularity": _streamed("course_popularity", "1 minute"),
     "stream_video_engagement_15min": _streamed("video_engagement", "15 minutes"),
 }
@@ -308,6 +331,7 @@ def _dated_rows(i: Inputs) -> DataFrame:
         F.col("timestamp").alias("event_time"),
         F.col("timestamp_parsed").cast("date").alias("NgayHoc"),
         F.col("timestamp").alias("note"),
+        (F.unix_micros("timestamp_parsed") * 1000 - 1).alias("time_ns"),
     )
 
 
@@ -336,6 +360,9 @@ RECORDS: dict[str, Callable[[Inputs], DataFrame]] = {
     "records_retained": lambda i: records.retained(i.raw(), "2024-02-15 00:00:00").select(
         "key", "topic", "timestamp"
     ),
+    "audit_freshness": lambda i: records.topic_freshness(
+        i.raw(), i.raw().agg(F.max("timestamp")).scalar(), recent_seconds=7 * 86400
+    ),
     "records_event_mix": lambda i: records.event_mix(i.raw()),
 }
 

@@ -690,6 +690,9 @@ WHERE window_end <= (SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE {counte
 _STREAMED = {
     "batch_run_notifications": _VIEW["notification_user_summary"],
     "batch_run_student_courses": _VIEW["student_course_detailed"],
+    "stream_active_users": _closed(
+        "SELECT window_start, window_end, true AS within FROM active_users", "event_type = 'LOGIN'"
+    ),
     "stream_course_popularity": _closed("SELECT * FROM course_popularity", _IN_COURSE),
     "stream_video_engagement_15min": _closed(
         'SELECT video_id, start AS window_start, "end" AS window_end, views,'
@@ -710,7 +713,8 @@ _KEEP = [
 _DATED = """
 SELECT user_id AS student_id, coalesce(strftime(tp, '%Y-%m-%dT%H:%M:%S'), '') AS event_time,
        coalesce(strftime(CAST(CAST(tp AS DATE) AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S'), '') AS NgayHoc,
-       "timestamp" AS note
+       "timestamp" AS note,
+       coalesce(strftime(tp - INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S'), '') AS time_ns
 FROM course"""
 
 _RECORDS = {
@@ -745,7 +749,12 @@ WHERE topic = 'profile_topic' OR """
         f"""(topic = '{t}' AND "timestamp" >= TIMESTAMP '2024-02-15' - INTERVAL {d} DAY)"""
         for t, d in _KEEP
     ),
-    **{f"records_export_{fmt}": _DATED for fmt in ("json", "parquet")},
+    **{f"records_export_{fmt}": _DATED for fmt in ("csv", "json", "parquet")},
+    "audit_freshness": """
+SELECT topic, count(*) AS records, max("timestamp") AS newest,
+       count(*) FILTER (date_diff('second', "timestamp", (SELECT max("timestamp") FROM raw)) < 604800)
+         AS recent_records
+FROM raw GROUP BY topic""",
     "records_event_mix": """
 SELECT event_category, count(*) AS events,
        count(*) / (SELECT count(*) FROM typed) * 100 AS percentage

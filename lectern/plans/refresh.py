@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lectern.operators import serving
 from lectern.schemas import SERVING_KEYS
 from lectern.session import session
+from lectern.sources import versions
 from lectern.sources.keyed import (
     conform,
     conform_batch,
@@ -65,7 +66,7 @@ def main(arguments: list[str]) -> int:
     now = F.current_timestamp()
     refresh_tables(spark, view_root, table_root, now)
     summary = system_summary(spark, view_root, speed_root, now)
-    summary.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/system_summary")
+    versions.replace(spark, f"{table_root.rstrip('/')}/system_summary", summary.write.parquet)
     return 0
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 
 from lectern.plans.registry import JOBS, VIEWS, build_view, views_of
 from lectern.session import session
-from lectern.sources.events import read_typed, write_typed
+from lectern.sources import versions
+from lectern.sources.typed import read_typed, write_typed
 from lectern.sources.views import write_view
 
 
@@ -61,13 +62,16 @@ def run(
 
     `parallel` views are written at a time: the last tasks of one overlap with
     the first of the next. A failed topic or view fails the jobs that need it;
-    the others go on.
+    the others go on. A missing topic is an empty one; without the master dataset itself
+    nothing is written.
     """
     wanted = list(jobs) if jobs is not None else list(JOBS)
     unknown = sorted(set(wanted) - set(JOBS))
     if unknown:
         raise ValueError(f"unknown jobs {unknown}; known are {list(JOBS)}")
     typed_root = typed_root or f"{view_root.rstrip('/')}_typed"
+    if not versions.exists(spark, raw_root):
+        raise FileNotFoundError(f"no master dataset at {raw_root}")
     todo = [v for job in wanted for v in views_of(job)]
     topics = list(dict.fromkeys(t for v in todo for t in v.topics))
 

@@ -1,9 +1,9 @@
-"""Master dataset: reading raw topics, decoding events, and the typed layer."""
+"""Master dataset: reading raw topics and decoding events."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,34 +75,3 @@ def encode(events: DataFrame, key: str, topic: Column, broker_time: Column) -> D
         topic.alias("topic"),
         broker_time.alias("timestamp"),
     )
-
-
-def typed_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
-
-
-def typed_schema(name: str) -> T.StructType:
-    return T.StructType([*EVENT[name].fields, T.StructField("timestamp_parsed", T.TimestampType())])
-
-
-def write_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str) -> int:
-    """Decode one topic once into columnar Parquet; returns the rows written.
-
-    Each task orders its rows by event type, without a shuffle. Pages and row
-    groups then hold few types each, so a view's `event_type` filter skips the
-    others. The row count is observed during the write instead of costing a
-    second scan.
-    """
-    seen = Observation(f"typed_{name}")
-    events = decode_topic(read_topic(spark, raw_root, TOPICS[name]), name)
-    (
-        events.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .sortWithinPartitions("event_type")
-        .write.mode("overwrite")
-        .parquet(typed_path(typed_root, name))
-    )
-    return seen.get["rows"]
-
-
-def read_typed(spark: SparkSession, typed_root: str, name: str) -> DataFrame:
-    return read_or_empty(spark, typed_path(typed_root, name), typed_schema(name))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.keyed import newest
 from lectern.schemas import SERVING, SERVING_KEYS
-from lectern.sources.events import read_or_empty
+from lectern.sources import versions
+from lectern.sources.batches import day_number, read_batches, write_batch
+
+log = logging.getLogger(__name__)
 
 # Serving column <- view column, where their names differ.
 ALIASES: dict[str, dict[str, str]] = {
@@ -87,12 +91,13 @@ def write_lookup(table: DataFrame, path: str, keys: tuple[str, ...]) -> None:
 
     Range partitioning over all keys, so one hot leading key spans several files.
     """
-    (
-        table.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    laid_out = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    versions.replace(table.sparkSession, path, laid_out.write.parquet)
+
+
+def read_lookup(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A lookup table as it was last written."""
+    return versions.read(spark, path, SERVING[table])
 
 
 def write_enrollment_tables(view: DataFrame, root: str) -> None:
@@ -101,7 +106,7 @@ def write_enrollment_tables(view: DataFrame, root: str) -> None:
     spark = view.sparkSession
     forward = f"{root.rstrip('/')}/student_course_enrollment"
     write_lookup(enrollment_table(view), forward, ("student_id", "course_id"))
-    stored = read_or_empty(spark, forward, SERVING["student_course_enrollment"])
+    stored = read_lookup(spark, forward, "student_course_enrollment")
     write_lookup(
         by_course(stored),
         f"{root.rstrip('/')}/course_student_enrollment",
@@ -109,32 +114,20 @@ def write_enrollment_tables(view: DataFrame, root: str) -> None:
     )
 
 
-def write_batch_of(rows: DataFrame, path: str, batch_id: int, time: str) -> None:
-    """Write one micro-batch below `day=` (of its `time` column) and `batch_id=`.
+def upsert(rows: DataFrame, path: str, table: str, batch_id: int) -> int:
+    """Insert speed rows under their primary key; `read_keyed` lets the newest batch win.
 
-    Only those directories are replaced, so a batch that is run again after a
-    failure overwrites its first attempt instead of adding to it.
+    Rows without a key cannot be stored under it. How many there were is returned, and
+    logged if there were any.
     """
-    (
-        rows.withColumn("day", F.to_date(time))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "batch_id")
-        .parquet(path)
-    )
-
-
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches below `path`, with their `day` and `batch_id`."""
-    partitions = [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
-    return read_or_empty(spark, path, T.StructType([*schema.fields, *partitions]))
-
-
-def upsert(rows: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Insert speed rows under their primary key; `read_keyed` lets the newest batch win."""
-    present = rows.where(_keys_present(SERVING_KEYS[table]))
-    write_batch_of(present, path, batch_id, "window_start")
+    present = _keys_present(SERVING_KEYS[table])
+    seen = Observation(f"upsert_{table}_{batch_id}")
+    counted = rows.observe(seen, F.count(F.when(~present, 1)).alias("without_key"))
+    write_batch(counted.where(present), path, batch_id, "window_start")
+    missing = seen.get["without_key"]
+    if missing:
+        log.warning("%s, batch %s: %s rows without a key", table, batch_id, missing)
+    return missing
 
 
 def read_keyed(
@@ -145,6 +138,6 @@ def read_keyed(
     stored = read_batches(spark, path, schema)
     if since is not None:
         stored = stored.where(
-            (F.col("day") >= since.cast("date")) & (F.col("window_start") >= since)
+            (F.col("day") >= day_number(since)) & (F.col("window_start") >= since)
         )
     return newest(stored.drop("day"), keys, ["batch_id"]).select(*schema.names)

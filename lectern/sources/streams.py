@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from lectern.schemas import RAW, TOPICS
+from lectern.sources.batches import write_batch
 from lectern.sources.events import raw_envelope
 
 
@@ -14,16 +15,18 @@ def kafka_options(
     topics: list[str] | None = None,
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Reader options: all six topics unless told otherwise.
 
-    Streaming views start at "latest", the master dataset at "earliest".
+    Streaming views start at "latest", the master dataset at "earliest". Offsets that
+    the broker no longer has fail the query, unless `fail_on_data_loss` is off.
     """
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics or TOPICS.values()),
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -35,28 +38,32 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return raw_envelope(spark.readStream.format("kafka").options(**options).load())
 
 
-def read_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Raw records arriving as Parquet files, in the shape `read_kafka` gives."""
-    stream = (
-        spark.readStream.schema(RAW)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(path)
-    )
-    return stream.select(*RAW.names)
+def read_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw records arriving as Parquet files, in the shape `read_kafka` gives.
+
+    All files that have arrived are one batch, unless `max_files_per_trigger` is given:
+    where batches end decides what the watermark calls late.
+    """
+    reader = spark.readStream.schema(RAW)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path).select(*RAW.names)
 
 
 def master_sink(
     raw: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds"
 ) -> DataStreamWriter:
-    """Append raw records to the master dataset, one directory per topic.
+    """Append raw records to the master dataset: topic=, day= of the broker time, batch_id=.
 
-    `interval=None` processes what is there and stops.
+    A batch that is run again replaces what its first attempt left, so readers of a
+    topic's directory need no log of committed files. `interval=None` processes what is
+    there and stops.
     """
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        raw.writeStream.format("parquet")
-        .partitionBy("topic")
-        .option("path", path)
+        raw.writeStream.foreachBatch(
+            lambda rows, batch: write_batch(rows, path, batch, "timestamp", "topic")
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )

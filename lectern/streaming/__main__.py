@@ -23,7 +23,8 @@ def main(arguments: list[str]) -> int:
         return 2
     job, servers, root, checkpoints = arguments
     spark = session(f"lectern {job}", streaming=True)
-    spark.streams.addListener(ProgressListener(report=print))
+    log = f"{checkpoints.rstrip('/')}/progress-{job}"
+    spark.streams.addListener(ProgressListener(spark, log, report=print))
     if job == "ingest":
         raw = read_kafka(spark, kafka_options(servers, starting_offsets="earliest"))
         master_sink(raw, root, f"{checkpoints.rstrip('/')}/ingest").start().awaitTermination()

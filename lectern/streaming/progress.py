@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lectern.schemas import ddl
+from lectern.sources import versions
 
 SCHEMA = ddl(
     "query STRING, batch_id BIGINT, input_rows BIGINT, state_rows BIGINT, watermark STRING,"
     " sources STRING"
 )
 
+ENDED = ddl("id STRING, error STRING")
+
 
 def _row(progress) -> tuple:
     return (
@@ -26,34 +32,48 @@ def _row(progress) -> tuple:
     )
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Rows for the batches Spark still remembers of one query."""
-    return [_row(p) for p in query.recentProgress]
-
-
 def is_running(query: StreamingQuery) -> tuple[bool, str]:
     return query.isActive, query.status["message"]
 
 
 class ProgressListener(StreamingQueryListener):
-    """Collects a row per micro-batch of every query of the session.
+    """Logs a row per micro-batch of every query of the session, and each query's end.
 
-    Keeps the last `keep` rows: a report on running queries, not a log. `report`
-    is called with each row as it arrives.
+    Rows go to JSON files below `root`, one file for `every` rows of a kind; `frame` and
+    `ended` read all of them. `report` is called with each row as it arrives. What is
+    not yet written when the driver dies, `every` rows at most, is lost with it.
     """
 
-    def __init__(self, keep: int = 1000, report: Callable[[tuple], None] | None = None):
-        self.keep = keep
-        self.report = report
-        self.rows: list[tuple] = []
-        self.ended: list[tuple[str, str | None]] = []
+    def __init__(
+        self, spark: SparkSession, root: str, every: int = 1, report: Callable[[tuple], None] | None = None
+    ):
+        self.spark, self.root, self.every, self.report = spark, root.rstrip("/"), every, report
+        self.waiting: dict[str, list[dict]] = {"progress": [], "ended": []}
+
+    def _add(self, kind: str, row: dict) -> None:
+        self.waiting[kind].append(row)
+        if len(self.waiting[kind]) >= self.every:
+            self.flush()
+
+    def flush(self) -> None:
+        for kind, rows in self.waiting.items():
+            if rows:
+                text = "".join(json.dumps(r) + "\n" for r in rows)
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(
+                    f"{self.root}/{kind}/{time.time_ns()}-{uuid.uuid4().hex[:8]}.json"
+                )
+                files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                out = files.create(path)
+                out.write(bytearray(text.encode()))
+                out.close()
+                self.waiting[kind] = []
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
         row = _row(event.progress)
-        self.rows = [*self.rows, row][-self.keep :]
+        self._add("progress", dict(zip(SCHEMA.names, row)))
         if self.report:
             self.report(row)
 
@@ -61,7 +81,20 @@ class ProgressListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        self.ended = [*self.ended, (str(event.id), event.exception)][-self.keep :]
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, SCHEMA)
+        self._add("ended", {"id": str(event.id), "error": event.exception})
+        self.flush()
+
+    def frame(self) -> DataFrame:
+        """All rows logged below the root."""
+        return self._read("progress", SCHEMA)
+
+    def ended(self) -> DataFrame:
+        """The queries that have ended, each with its error or NULL."""
+        return self._read("ended", ENDED)
+
+    def _read(self, kind: str, schema) -> DataFrame:
+        self.flush()
+        path = f"{self.root}/{kind}"
+        if not versions.exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(path)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lectern.operators import speed
-from lectern.sources.keyed import conform_speed, upsert, write_batch_of
+from lectern.sources.batches import write_batch
+from lectern.sources.keyed import conform_speed, upsert
 
 Write = Callable[[DataFrame, int], None]
 
@@ -61,7 +62,7 @@ def sinks(name: str, settings: Settings) -> list[Write]:
     """Append-style files and a keyed table for the view."""
     root = settings.root.rstrip("/")
     return [
-        lambda rows, batch: write_batch_of(rows, f"{root}/views/{name}", batch, "start"),
+        lambda rows, batch: write_batch(rows, f"{root}/views/{name}", batch, "start"),
         lambda rows, batch: upsert(conform_speed(rows, name), f"{root}/keyed/{name}", name, batch),
     ]
 

@@ -11,7 +11,7 @@ from check import rows_of
 from lectern.plans import oracle
 from lectern.plans.registry import VIEWS, build_view
 from lectern.schemas import EVENT
-from lectern.sources.events import typed_schema
+from lectern.sources.typed import typed_schema
 from lectern.sources.sample import EVENT_TYPES
 from lectern.functions.columns import as_ntz
 from pyspark.sql import types as T

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions.keyed import lookup_join, newest, oldest
 from lectern.plans import catalog
 from lectern.plans.registry import VIEWS, build_view
-from lectern.sources.events import read_typed, typed_path, write_typed
+from lectern.sources.typed import read_typed, typed_path, write_typed
 from lectern.sources.sample import typed_topics
 
 

@@ -5,6 +5,7 @@ import pytest
 from lectern.plans import catalog, oracle, refresh, runner
 from lectern.plans.registry import JOBS, VIEWS, build_view
 from lectern.schemas import SERVING
+from lectern.sources.keyed import read_lookup
 from lectern.sources.sample import raw_events, typed_topics
 from lectern.sources.views import read_view
 
@@ -44,11 +45,13 @@ def test_a_failed_topic_fails_only_its_jobs(spark, master, tmp_path):
     assert failed == {"course", "student_course_analytics"} and not report.ok
 
 
-def test_missing_master_dataset_gives_empty_views(spark, tmp_path):
+def test_missing_master_dataset_leaves_the_views(spark, master, tmp_path):
     out = str(tmp_path / "views")
-    report = runner.run(spark, str(tmp_path / "none"), out, ["auth"])
-    assert report.ok and report.events == {"auth": 0}
-    assert read_view(spark, out, "auth_daily_active_users").count() == 0
+    assert runner.run(spark, master, out, ["auth"]).ok
+    before = read_view(spark, out, "auth_daily_active_users").collect()
+    with pytest.raises(FileNotFoundError):
+        runner.run(spark, str(tmp_path / "none"), out, ["auth"])
+    assert before and read_view(spark, out, "auth_daily_active_users").collect() == before
 
 
 def test_unknown_job(spark, tmp_path):
@@ -70,15 +73,15 @@ def test_serving_tables_from_stored_views(spark, master, tmp_path):
     assert runner.run(spark, master, views, ["auth", "student_course_analytics"]).ok
     refresh.refresh_tables(spark, views, tables, "2024-02-01 00:00:00")
     for name in refresh.COPIED:
-        stored = spark.read.parquet(f"{tables}/{name}")
+        stored = read_lookup(spark, f"{tables}/{name}", name)
         assert stored.count() == read_view(spark, views, name).count() > 0
         assert stored.columns == SERVING[name].names
     pairs = read_view(spark, views, "student_course_enrollment").select("student_id", "course_id")
     for name in ("student_course_enrollment", "course_student_enrollment"):
-        assert spark.read.parquet(f"{tables}/{name}").count() == pairs.distinct().count()
+        assert read_lookup(spark, f"{tables}/{name}", name).count() == pairs.distinct().count()
     row = refresh.system_summary(spark, views, str(tmp_path / "speed"), "2024-02-01").first()
     assert row.current_active_users == 0 and row.speed_layer_status == "healthy"
-    assert row.total_students == spark.read.parquet(f"{tables}/student_overview").count()
+    assert row.total_students == read_lookup(spark, f"{tables}/student_overview", "student_overview").count()
 
 
 def test_views_are_ordered_when_read(spark, master, tmp_path):

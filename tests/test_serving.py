@@ -232,6 +232,20 @@ def test_retention_prunes_and_keeps_what_has_no_limit(spark, raw):
     assert sorted(r.key for r in kept.collect()) == ["b", "c"]
 
 
+def test_retention_keeps_what_has_no_topic_or_time(spark, raw):
+    rows = [("x", "v", None, NOW), ("y", "v", "notification_topic", None)]
+    odd = spark.createDataFrame(rows, raw("auth", []).schema)
+    assert records.retained(odd, NOW).count() == 2
+
+
+def test_dates_from_numbers_are_exact(spark):
+    rows = [(1704067199999999999,), (-1,), (0,), (None,)]
+    df = records.normalise_dates(spark.createDataFrame(rows, "time_ns bigint"))
+    assert [r.time_ns for r in df.collect()] == [
+        "2023-12-31T23:59:59", "1969-12-31T23:59:59", "1970-01-01T00:00:00", "",
+    ]
+
+
 def test_event_mix(raw):
     df = raw("auth", [{"event_category": "AUTH"}] * 3 + ["{bad"])
     assert [tuple(r) for r in records.event_mix(df).collect()] == [("AUTH", 3, 75.0), (None, 1, 25.0)]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators.records import data_files
-from lectern.plans.registry import VIEWS
+from lectern.plans.registry import VIEWS, view_path
 from lectern.schemas import EVENT, RAW, TOPICS
 from lectern.sources.events import (
     decode_topic,
@@ -12,11 +12,9 @@ from lectern.sources.events import (
     raw_envelope,
     read_or_empty,
     read_topic,
-    read_typed,
-    typed_schema,
-    write_typed,
 )
 from lectern.sources.sample import raw_events, typed_topics
+from lectern.sources.typed import read_typed, typed_schema, write_typed
 from lectern.sources.views import read_view, view_schema, write_view
 
 
@@ -112,6 +110,23 @@ def test_views_are_replaced_and_missing_ones_are_empty(spark, tmp_path):
     assert [r.user_id for r in read_view(spark, root, "notification_engagement").collect()] == ["b"]
 
 
+def test_a_write_that_dies_leaves_the_view_as_it_was(spark, tmp_path):
+    root = str(tmp_path)
+    name = "notification_engagement"
+    schema = view_schema(spark, name)
+    write_view(spark.createDataFrame([("a", "t", 1)], schema), root, name)
+    bad = spark.createDataFrame([("b", "t", 1)], schema)
+    dying = bad.withColumn(schema.names[0], F.raise_error(F.lit("dies")).cast("string"))
+    with pytest.raises(Exception, match="dies"):
+        write_view(dying, root, name)
+    assert [r.user_id for r in read_view(spark, root, name).collect()] == ["a"]
+    for user in "cde":
+        write_view(spark.createDataFrame([(user, "t", 1)], schema), root, name)
+    assert [r.user_id for r in read_view(spark, root, name).collect()] == ["e"]
+    folder = tmp_path / view_path("", name).strip("/")
+    assert len([d for d in folder.iterdir() if (d / "_SUCCESS").exists()]) == 2
+
+
 def test_every_view_has_a_schema_over_no_events(spark):
     for name in VIEWS:
         assert view_schema(spark, name).names

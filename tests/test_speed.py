@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from lectern.operators import speed
 from lectern.schemas import RAW, SERVING
 from lectern.sources import keyed, streams
+from lectern.sources.batches import day_number, read_batches, write_batch
+from lectern.sources.events import read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events
 from lectern.streaming import progress
 from lectern.streaming import speed as layer
@@ -151,7 +153,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     path = str(tmp_path / "keyed")
     for batch, value in [(0, 1), (1, 5), (1, 6), (2, 9), (2, 9)]:
         keyed.upsert(window_rows(value), path, "active_users", batch)
-    stored = keyed.read_batches(spark, path, SERVING["active_users"])
+    stored = read_batches(spark, path, SERVING["active_users"])
     assert sorted((r.batch_id, r.active_users) for r in stored.collect()) == [(0, 1), (1, 6), (2, 9)]
     assert [r.active_users for r in keyed.read_keyed(spark, path, "active_users").collect()] == [9]
     late = keyed.read_keyed(spark, path, "active_users", F.lit(at("10:00:01")))
@@ -184,27 +186,60 @@ def test_master_dataset_sink(spark, feed, tmp_path):
     query.awaitTermination()
     assert sorted(d for d in os.listdir(root) if "=" in d) == ["topic=auth_topic", "topic=course_topic"]
     assert spark.read.schema(RAW).parquet(root).count() == 3
-    seen = progress.progress_rows(query)
-    assert sum(r[2] for r in seen) == 3
+    assert read_topic(spark, root, "course_topic").count() == 2
+    again = raw_events(spark, "/root/testdata/sf0.001").where("topic = 'auth_topic'")
+    for _ in range(2):  # a batch that is run again
+        write_batch(again, root, 7, "timestamp", "topic")
+    assert read_topic(spark, root, "auth_topic").count() == 1 + again.count()
+    files = [f for f in read_topic(spark, root, "auth_topic").inputFiles() if "batch_id=7" in f]
+    assert len(files) == again.select(day_number(F.col("timestamp"))).distinct().count()
     assert progress.is_running(query)[0] is False
 
 
 def test_progress_listener(spark, feed, tmp_path):
     reported = []
-    listener = progress.ProgressListener(keep=2, report=reported.append)
+    listener = progress.ProgressListener(spark, str(tmp_path / "log"), report=reported.append)
+    assert listener.frame().count() == 0
     spark.streams.addListener(listener)
     try:
         feed("course", [{"course_id": "c", "timestamp": "2024-01-01 10:00:00"}])
         layer.start("course_popularity", feed.stream(), settings(tmp_path)).awaitTermination()
         for _ in range(100):
-            if listener.ended:
+            if listener.ended().count():
                 break
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
-    assert listener.rows and len(listener.rows) <= 2 and reported[-1] == listener.rows[-1]
-    frame = listener.frame(spark)
-    assert frame.first()["query"] == "speed_course_popularity"
+    assert listener.ended().first()["error"] is None
+    assert [tuple(r) for r in listener.frame().orderBy("batch_id").collect()] == sorted(reported, key=lambda r: r[1])
+
+
+def test_all_progress_rows_are_kept(spark, tmp_path):
+    listener = progress.ProgressListener(spark, str(tmp_path), every=100)
+    for n in range(1550):
+        listener._add("progress", dict(zip(progress.SCHEMA.names, ("q", n, 1, 0, None, "s"))))
+    frame = listener.frame()
+    assert frame.count() == 1550 and frame.selectExpr("max(batch_id)").first()[0] == 1549
+
+
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path, conf):
+    path = str(tmp_path / "keyed")
+    at_utc = dt.datetime(2024, 1, 1, 20)
+    frame = spark.createDataFrame([(at_utc, at_utc + dt.timedelta(minutes=1), 5)], "start timestamp, end timestamp, active_users bigint")
+    assert keyed.upsert(keyed.conform_speed(frame, "active_users"), path, "active_users", 0) == 0
+    conf(spark__sql__session__timeZone="Asia/Ho_Chi_Minh")
+    since = F.timestamp_seconds(F.lit(1704138000))  # 19:40 UTC
+    assert keyed.read_keyed(spark, path, "active_users", since).count() == 1
+
+
+def test_rows_without_a_key_are_counted(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(at("10:00:00"), at("10:01:00"), "c", 5), (at("10:00:00"), at("10:01:00"), None, 2)],
+        "start timestamp, end timestamp, course_id string, interactions bigint",
+    )
+    rows = keyed.conform_speed(frame, "course_popularity")
+    assert keyed.upsert(rows, str(tmp_path / "k"), "course_popularity", 0) == 1
+    assert keyed.read_keyed(spark, str(tmp_path / "k"), "course_popularity").count() == 1
 
 
 def test_kafka_options():
@@ -212,7 +247,8 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "a,b",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "10000",
     }
+    assert streams.kafka_options("h", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     assert streams.kafka_options("h")["subscribe"].count(",") == 5
