@@ -137,6 +137,10 @@ def student_course_performance(detailed: DataFrame, student_id: str, course_id:
 # ---- speed views, conformed to window_start / window_end --------------------
 
 
+# The age up to which speed data is healthy; states are unknown, healthy, stale.
+HEALTHY_SECONDS = 300
+
+
 def _latest(active_users: DataFrame) -> DataFrame:
     """The newest window; among equal starts, the one that ends last."""
     order = F.struct("window_start", "window_end")
@@ -153,7 +157,7 @@ def speed_summary(active_users: DataFrame, popularity: DataFrame, as_of: AsOf) -
         F.col("active_users").alias("current_active_users"),
         courses.alias("total_active_courses"),
         F.when(F.col("window_start").isNull(), "unknown")
-        .when(age < 300, "healthy")
+        .when(age < HEALTHY_SECONDS, "healthy")
         .otherwise("stale")
         .alias("speed_layer_status"),
         F.col("window_start").alias("last_update"),
@@ -249,7 +253,7 @@ def active_user_stats(series: DataFrame) -> DataFrame:
 
 
 def activity_comparison(recent: DataFrame, cumulative: DataFrame) -> DataFrame:
-    """Speed and batch activity side by side, one row per measure."""
+    """Speed and batch activity side by side, one row per measure (labels are fixed values)."""
 
     def long_form(df, layer, **measures):
         names = ", ".join(f"'{label}', {column}" for column, label in measures.items())

@@ -7,6 +7,7 @@ newest event time in the data.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -50,7 +51,7 @@ class Inputs:
     def stream_events(self) -> DataFrame:
         return speed.decode_stream(self.raw())
 
-    def speed_view(self, name: str) -> DataFrame:
+    def speed_view(self, name: str, hours: int | None = None) -> DataFrame:
         events = self.stream_events()
         view = (
             speed.active_users(events, exact=True)
@@ -63,8 +64,48 @@ class Inputs:
         return self.stream_events().agg(F.max("timestamp")).scalar()
 
 
-def _query(build: Callable[[Inputs], DataFrame]) -> Query:
-    return lambda spark, sf_dir: as_ntz(build(Inputs(spark, sf_dir)))
+#: Where each session has stored the tables of a directory, and the newest event time there.
+_STORED: dict[tuple[str, str], tuple[str, datetime.datetime]] = {}
+
+
+class StoredInputs(Inputs):
+    """What serving reads: views, keyed speed tables and `as_of`, all stored before.
+
+    The first query of a session over a directory stores them: master dataset, all
+    batch views in their order, and the speed views as keyed tables.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _STORED:
+            _STORED[key] = self._store()
+        self.root, self.now = _STORED[key]
+
+    def _store(self) -> tuple[str, datetime.datetime]:
+        root = shared_folder(self.spark, "serving")
+        self.raw().write.partitionBy("topic").parquet(f"{root}/master")
+        report = runner.run(self.spark, f"{root}/master", f"{root}/views", ordered=True)
+        if not report.ok:
+            raise RuntimeError(report.jobs)
+        for name in streams.VIEWS:
+            keyed.upsert(super().speed_view(name), f"{root}/keyed/{name}", name, 0)
+        return root, self.stream_events().agg(F.max("timestamp")).first()[0]
+
+    def view(self, name: str) -> DataFrame:
+        return read_view(self.spark, f"{self.root}/views", name)
+
+    def speed_view(self, name: str, hours: int | None = None) -> DataFrame:
+        """The keyed table; with `hours`, only the days that hold the last so many hours."""
+        since = self.as_of() - F.make_dt_interval(hours=F.lit(hours)) if hours else None
+        return keyed.read_keyed(self.spark, f"{self.root}/keyed/{name}", name, since)
+
+    def as_of(self) -> Column:
+        return F.lit(self.now)
+
+
+def _query(build: Callable[[Inputs], DataFrame], inputs: type[Inputs] = Inputs) -> Query:
+    return lambda spark, sf_dir: as_ntz(build(inputs(spark, sf_dir)))
 
 
 def _view_query(name: str) -> Query:
@@ -262,19 +303,19 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
         i.view("student_course_detailed"), "SV000046", "COURSE010"
     ),
     "serve_speed_summary": lambda i: serving.speed_summary(
-        i.speed_view("active_users"), i.speed_view("course_popularity"), i.as_of()
+        i.speed_view("active_users"), i.speed_view("course_popularity", 1), i.as_of()
     ),
     "serve_recent_activity": lambda i: serving.recent_activity(
-        i.speed_view("video_engagement"), i.speed_view("course_popularity"), i.as_of(), hours=24
+        i.speed_view("video_engagement", 24), i.speed_view("course_popularity", 24), i.as_of(), hours=24
     ),
     "serve_realtime_active_users": lambda i: serving.realtime_active_users(
-        i.speed_view("active_users"), i.as_of(), hours=48
+        i.speed_view("active_users", 48), i.as_of(), hours=48
     ),
     "serve_course_popularity": lambda i: serving.course_popularity(
-        i.speed_view("course_popularity"), i.as_of(), hours=24
+        i.speed_view("course_popularity", 24), i.as_of(), hours=24
     ),
     "serve_video_stats": lambda i: serving.video_stats(
-        i.speed_view("video_engagement"), i.as_of(), hours=24
+        i.speed_view("video_engagement", 24), i.as_of(), hours=24
     ),
     "serve_latest_active_users": lambda i: serving.latest_active_users(
         i.speed_view("active_users")
@@ -287,11 +328,11 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
         i.as_of(),
     ),
     "serve_active_user_stats": lambda i: serving.active_user_stats(
-        serving.realtime_active_users(i.speed_view("active_users"), i.as_of(), hours=48)
+        serving.realtime_active_users(i.speed_view("active_users", 48), i.as_of(), hours=48)
     ),
     "serve_activity_comparison": lambda i: serving.activity_comparison(
         serving.recent_activity(
-            i.speed_view("video_engagement"), i.speed_view("course_popularity"), i.as_of()
+            i.speed_view("video_engagement", 1), i.speed_view("course_popularity", 1), i.as_of()
         ),
         serving.batch_activity_stats(i.view("course_overview")),
     ),
@@ -299,7 +340,7 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
         serving.student_engagement_distribution(i.view("student_overview"))
     ),
     "serve_total_interactions": lambda i: serving.total_interactions(
-        serving.course_popularity(i.speed_view("course_popularity"), i.as_of(), hours=24)
+        serving.course_popularity(i.speed_view("course_popularity", 24), i.as_of(), hours=24)
     ),
     "serve_available_columns": lambda i: serving.available_columns(
         i.view("course_overview"),
@@ -369,8 +410,9 @@ RECORDS: dict[str, Callable[[Inputs], DataFrame]] = {
 
 def queries() -> dict[str, Query]:
     built = {**INGEST, **WINDOWED, **SERVE, **RECORDS}
+    reads = {name: StoredInputs for name in SERVE if name.startswith("serve_")}
     return {
         **{name: _view_query(name) for name in VIEWS},
-        **{name: _query(build) for name, build in built.items()},
+        **{name: _query(build, reads.get(name, Inputs)) for name, build in built.items()},
         **STREAMED,
     }

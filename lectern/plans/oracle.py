@@ -631,30 +631,80 @@ FROM ({_TOP_COURSES})""",
     ),
 }
 
+# Each topic's fields.
 _DECODED = {
-    "auth": "event_category event_type user_id timestamp role session_id email registration_source",
-    "assessment": (
-        "event_category event_type user_id timestamp role course_id assignment_id quiz_id student_id"
-        " assignment_type file_url feedback score correct_answers total_questions"
-    ),
-    "video": (
-        "event_category event_type user_id timestamp role course_id video_id session_id"
-        " watch_duration_seconds"
-    ),
-    "course": (
-        "event_category event_type user_id timestamp role course_id material_id material_type"
-        " resource_id resource_type"
-    ),
-    "profile": "event_category event_type user_id timestamp field_name new_value",
-    "notification": (
-        "event_category event_type user_id timestamp notification_type notification_id"
-    ),
+    "auth": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "role",
+        "session_id",
+        "email",
+        "registration_source",
+    ],
+    "assessment": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "role",
+        "course_id",
+        "assignment_id",
+        "quiz_id",
+        "student_id",
+        "assignment_type",
+        "file_url",
+        "feedback",
+        "score",
+        "correct_answers",
+        "total_questions",
+    ],
+    "video": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "role",
+        "course_id",
+        "video_id",
+        "session_id",
+        "watch_duration_seconds",
+    ],
+    "course": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "role",
+        "course_id",
+        "material_id",
+        "material_type",
+        "resource_id",
+        "resource_type",
+    ],
+    "profile": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "field_name",
+        "new_value",
+    ],
+    "notification": [
+        "event_category",
+        "event_type",
+        "user_id",
+        "timestamp",
+        "notification_type",
+        "notification_id",
+    ],
 }
 
 
 def _decoded(topic: str) -> str:
     columns = []
-    for name in _DECODED[topic].split():
+    for name in _DECODED[topic]:
         if name in _TEXT_FIELDS:
             columns.append(f'"{name}"')
         else:  # declared in the schema, never filled

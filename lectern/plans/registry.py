@@ -37,7 +37,7 @@ class View:
 
 
 def _domain(job, topic, *views):
-    return [View(f"{topic}_{name}", job, (topic,), fn, tuple(order.split())) for name, fn, order in views]
+    return [View(name, job, (topic,), fn, tuple(order)) for name, fn, order in views]
 
 
 def _cross(*views):
@@ -45,126 +45,85 @@ def _cross(*views):
         View(
             name,
             "student_course_analytics",
-            tuple(topics.split()),
+            tuple(topics),
             fn,
-            tuple(order.split()),
+            tuple(order),
             students_only=True,
         )
         for name, topics, fn, order in views
     ]
 
 
+# The views' names, their topics and the columns that order them.
 _ALL = [
     *_domain(
         "auth",
         "auth",
-        ("daily_active_users", auth.daily_active_users, "date"),
-        ("hourly_login_patterns", auth.hourly_login_patterns, "date hour"),
-        ("user_session_metrics", auth.user_session_metrics, "-total_sessions user_id"),
-        ("user_activity_summary", auth.user_activity_summary, "-total_logins user_id role"),
-        ("registration_analytics", auth.registration_analytics, "date registration_source role"),
+        ("auth_daily_active_users", auth.daily_active_users, ["date"]),
+        ("auth_hourly_login_patterns", auth.hourly_login_patterns, ["date", "hour"]),
+        ("auth_user_session_metrics", auth.user_session_metrics, ["-total_sessions", "user_id"]),
+        ("auth_user_activity_summary", auth.user_activity_summary, ["-total_logins", "user_id", "role"]),
+        ("auth_registration_analytics", auth.registration_analytics, ["date", "registration_source", "role"]),
     ),
     *_domain(
         "assessment",
         "assessment",
-        (
-            "student_submissions",
-            assessment.student_submissions,
-            "-total_assignments_submitted user_id course_id",
-        ),
-        ("engagement_timeline", assessment.engagement_timeline, "user_id course_id"),
-        (
-            "quiz_performance",
-            assessment.quiz_performance,
-            "-avg_correct_answers user_id course_id",
-        ),
-        ("grading_stats", assessment.grading_stats, "-avg_assignment_score student_id course_id"),
-        ("teacher_workload", assessment.teacher_workload, "user_id course_id"),
-        (
-            "submission_distribution",
-            assessment.submission_distribution,
-            "date course_id assignment_type",
-        ),
-        (
-            "student_overall_performance",
-            assessment.student_overall_performance,
-            "user_id course_id",
-        ),
+        ("assessment_student_submissions", assessment.student_submissions, ["-total_assignments_submitted", "user_id", "course_id"]),
+        ("assessment_engagement_timeline", assessment.engagement_timeline, ["user_id", "course_id"]),
+        ("assessment_quiz_performance", assessment.quiz_performance, ["-avg_correct_answers", "user_id", "course_id"]),
+        ("assessment_grading_stats", assessment.grading_stats, ["-avg_assignment_score", "student_id", "course_id"]),
+        ("assessment_teacher_workload", assessment.teacher_workload, ["user_id", "course_id"]),
+        ("assessment_submission_distribution", assessment.submission_distribution, ["date", "course_id", "assignment_type"]),
+        ("assessment_student_overall_performance", assessment.student_overall_performance, ["user_id", "course_id"]),
     ),
     *_domain(
         "video",
         "video",
-        ("total_watch_time", video.total_watch_time, "-total_watch_seconds user_id video_id course_id"),
-        ("student_engagement", video.student_engagement, "-total_watch_seconds user_id course_id"),
-        ("popularity", video.popularity, "-unique_viewers video_id course_id"),
-        ("daily_engagement", video.daily_engagement, "date course_id"),
-        ("course_metrics", video.course_metrics, "course_id"),
-        ("student_course_summary", video.student_course_summary, "user_id course_id"),
-        ("drop_off_indicators", video.drop_off_indicators, "avg_watch_duration video_id course_id"),
+        ("video_total_watch_time", video.total_watch_time, ["-total_watch_seconds", "user_id", "video_id", "course_id"]),
+        ("video_student_engagement", video.student_engagement, ["-total_watch_seconds", "user_id", "course_id"]),
+        ("video_popularity", video.popularity, ["-unique_viewers", "video_id", "course_id"]),
+        ("video_daily_engagement", video.daily_engagement, ["date", "course_id"]),
+        ("video_course_metrics", video.course_metrics, ["course_id"]),
+        ("video_student_course_summary", video.student_course_summary, ["user_id", "course_id"]),
+        ("video_drop_off_indicators", video.drop_off_indicators, ["avg_watch_duration", "video_id", "course_id"]),
     ),
     *_domain(
         "course",
         "course",
-        ("enrollment_stats", course.enrollment_stats, "date course_id"),
-        ("material_access", course.material_access, "user_id course_id"),
-        (
-            "material_popularity",
-            course.material_popularity,
-            "-total_accesses course_id material_id material_type",
-        ),
-        ("download_analytics", course.download_analytics, "-total_downloads user_id course_id"),
-        (
-            "resource_download_stats",
-            course.resource_download_stats,
-            "-total_download_count course_id resource_id",
-        ),
-        ("activity_summary", course.activity_summary, "user_id"),
-        ("daily_engagement", course.daily_engagement, "date course_id event_type"),
-        ("overall_metrics", course.overall_metrics, "-total_enrollments course_id"),
+        ("course_enrollment_stats", course.enrollment_stats, ["date", "course_id"]),
+        ("course_material_access", course.material_access, ["user_id", "course_id"]),
+        ("course_material_popularity", course.material_popularity, ["-total_accesses", "course_id", "material_id", "material_type"]),
+        ("course_download_analytics", course.download_analytics, ["-total_downloads", "user_id", "course_id"]),
+        ("course_resource_download_stats", course.resource_download_stats, ["-total_download_count", "course_id", "resource_id"]),
+        ("course_activity_summary", course.activity_summary, ["user_id"]),
+        ("course_daily_engagement", course.daily_engagement, ["date", "course_id", "event_type"]),
+        ("course_overall_metrics", course.overall_metrics, ["-total_enrollments", "course_id"]),
     ),
     *_domain(
         "profile_notification",
         "profile",
-        ("update_frequency", profile.update_frequency, "-total_profile_updates user_id"),
-        ("field_changes", profile.field_changes, "-total_updates field_name"),
-        ("avatar_changes", profile.avatar_changes, "-avatar_changes_count user_id"),
-        ("daily_activity", profile.daily_activity, "date event_type"),
+        ("profile_update_frequency", profile.update_frequency, ["-total_profile_updates", "user_id"]),
+        ("profile_field_changes", profile.field_changes, ["-total_updates", "field_name"]),
+        ("profile_avatar_changes", profile.avatar_changes, ["-avatar_changes_count", "user_id"]),
+        ("profile_daily_activity", profile.daily_activity, ["date", "event_type"]),
     ),
     *_domain(
         "profile_notification",
         "notification",
-        ("delivery_stats", notification.delivery_stats, "-total_sent notification_type"),
-        ("engagement", notification.engagement, "-notifications_clicked user_id notification_type"),
-        (
-            "click_through_rate",
-            notification.click_through_rate,
-            "-click_through_rate notification_type",
-        ),
-        (
-            "user_preferences",
-            notification.user_preferences,
-            "user_id -engagement_rate notification_type",
-        ),
-        ("daily_activity", notification.daily_activity, "date event_type notification_type"),
-        ("user_summary", notification.user_summary, "-overall_engagement_rate user_id"),
+        ("notification_delivery_stats", notification.delivery_stats, ["-total_sent", "notification_type"]),
+        ("notification_engagement", notification.engagement, ["-notifications_clicked", "user_id", "notification_type"]),
+        ("notification_click_through_rate", notification.click_through_rate, ["-click_through_rate", "notification_type"]),
+        ("notification_user_preferences", notification.user_preferences, ["user_id", "-engagement_rate", "notification_type"]),
+        ("notification_daily_activity", notification.daily_activity, ["date", "event_type", "notification_type"]),
+        ("notification_user_summary", notification.user_summary, ["-overall_engagement_rate", "user_id"]),
     ),
     # Enrolment events may be exact copies, which no ordering can spread over tasks;
     # they stay unordered.
     *_cross(
-        ("course_overview", "course video", cross_domain.course_overview, "course_id"),
-        (
-            "student_overview",
-            "course video assessment auth",
-            cross_domain.student_overview,
-            "student_id",
-        ),
-        ("student_course_enrollment", "course video", cross_domain.student_course_enrollment, ""),
-        (
-            "student_course_detailed",
-            "course video",
-            cross_domain.student_course_detailed,
-            "student_id course_id",
-        ),
+        ("course_overview", ["course", "video"], cross_domain.course_overview, ["course_id"]),
+        ("student_overview", ["course", "video", "assessment", "auth"], cross_domain.student_overview, ["student_id"]),
+        ("student_course_enrollment", ["course", "video"], cross_domain.student_course_enrollment, []),
+        ("student_course_detailed", ["course", "video"], cross_domain.student_course_detailed, ["student_id", "course_id"]),
     ),
 ]
 

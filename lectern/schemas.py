@@ -62,12 +62,12 @@ EVENT = {
     "notification": ddl(f"{_HEAD}, notification_type STRING, notification_id STRING"),
 }
 
-# What the streaming views read from any of the six topics.
+# What the streaming views read from any of the six topics.
 STREAM_EVENT = ddl(
     f"{_HEAD}, role STRING, course_id STRING, video_id STRING, watch_duration_seconds INT"
 )
 
-# Keyed serving tables. Counters stay 64-bit: a 32-bit counter overflows at the
+# Keyed serving tables and their keys. Counters stay 64-bit: a 32-bit counter overflows at the
 # data volumes this package is written for.
 SERVING = {
     "active_users": ddl(

@@ -169,3 +169,16 @@ def test_typed_layer_skips_other_event_types(spark, tmp_path):
     one = events.where("event_type = 'KIND_4'").agg(F.count_distinct("user_id"))
     assert scanned_rows(one) <= 100_000
     assert one.first()[0] == 40_000
+
+
+def test_lookups_read_stored_tables(spark, sf_dir):
+    """No lookup parses JSON; time-bounded ones skip days and key lookups push the key down."""
+    found = catalog.queries()
+
+    def plan(name):
+        return found[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+    for name in ("serve_course_details", "serve_student_courses", "serve_video_stats", "serve_system_summary"):
+        assert "from_json" not in plan(name), name
+    assert re.search(r"PartitionFilters: \[[^]]*day", plan("serve_video_stats"))
+    assert "EqualTo(course_id,COURSE007)" in plan("serve_course_details")
