@@ -14,12 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.functions.columns import as_ntz
+from lectern.functions.columns import as_ntz, event_time
 from lectern.operators import records, serving, speed
-from lectern.plans import runner
+from lectern.plans import refresh, runner
 from lectern.plans.registry import VIEWS, build_view
 from lectern.schemas import TOPICS
-from lectern.sources import keyed
+from lectern.sources import keyed, versions
 from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
 from lectern.sources.scratch import shared_folder
@@ -100,6 +100,14 @@ class StoredInputs(Inputs):
         since = self.as_of() - F.make_dt_interval(hours=F.lit(hours)) if hours else None
         return keyed.read_keyed(self.spark, f"{self.root}/keyed/{name}", name, since)
 
+    def table_of(self, name: str) -> DataFrame:
+        """A batch-fed serving table; the first call of a session refreshes all of them."""
+        tables = f"{self.root}/tables"
+        if not versions.exists(self.spark, tables):
+            refresh.refresh_tables(self.spark, f"{self.root}/views", tables, self.as_of())
+        found = keyed.read_lookup(self.spark, f"{tables}/{name}", name.replace("course_student", "student_course"))
+        return keyed.by_course(found) if name == "course_student_enrollment" else found
+
     def as_of(self) -> Column:
         return F.lit(self.now)
 
@@ -128,9 +136,16 @@ def _encoded_quizzes(i: Inputs) -> DataFrame:
     ).select("key", "value", "topic")
 
 
+def _encoded_assessments(i: Inputs) -> DataFrame:
+    """All events of the topic with all their fields; the event time is the broker's."""
+    events = i.topic("assessment").drop("timestamp_parsed")
+    return encode(events, "user_id", F.lit(TOPICS["assessment"]), event_time())
+
+
 INGEST: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingest_raw_envelope": _broker_rows,
     "ingest_encode_quizzes": _encoded_quizzes,
+    "ingest_encode_assessments": _encoded_assessments,
     **{
         f"ingest_decode_{name}": (lambda i, name=name: i.topic(name))
         for name in ("auth", "assessment", "video", "course", "profile", "notification")
@@ -201,6 +216,24 @@ def _run_job(job: str, view: str) -> Query:
     return query
 
 
+def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs from the master dataset to stored views: the rows of each view read back."""
+    views = shared_folder(spark, "views")
+    report = runner.run(spark, _master(spark, sf_dir), views)
+    if not report.ok:
+        raise RuntimeError(report.jobs)
+    counts = [
+        read_view(spark, views, name).agg(F.lit(name).alias("view"), F.count(F.lit(1)).alias("n_rows"))
+        for name in VIEWS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _refreshed(table: str) -> Query:
+    """A serving table as the refresh from stored views leaves it."""
+    return lambda spark, sf_dir: as_ntz(StoredInputs(spark, sf_dir).table_of(table))
+
+
 def _exported(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = shared_folder(spark, "export")
@@ -237,6 +270,11 @@ def _streamed_within(length: str) -> Query:
 
 STREAMED: dict[str, Query] = {
     "ingest_master_dataset": _ingested,
+    "batch_run_all": _run_all,
+    **{
+        f"refresh_{table}": _refreshed(table)
+        for table in (*refresh.COPIED, "student_course_enrollment", "course_student_enrollment")
+    },
     "batch_run_notifications": _run_job("profile_notification", "notification_user_summary"),
     "batch_run_student_courses": _run_job("student_course_analytics", "student_course_detailed"),
     "records_export_json": _exported("json"),

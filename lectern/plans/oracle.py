@@ -723,6 +723,10 @@ _INGEST = {
         f"SELECT user_id AS key, {_json(_QUIZ_FIELDS)} AS value, topic"
         " FROM assessment WHERE event_type = 'QUIZ_COMPLETED'"
     ),
+    "ingest_encode_assessments": (
+        f"SELECT user_id AS key, {_json([f for f in _DECODED['assessment'] if f in _TEXT_FIELDS])} AS value,"
+        " 'assessment_topic' AS topic, tp AS \"timestamp\" FROM assessment"
+    ),
     **{f"ingest_decode_{topic}": _decoded(topic) for topic in _DECODED},
 }
 
@@ -738,6 +742,14 @@ WHERE window_end <= (SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE {counte
 
 
 _STREAMED = {
+    "batch_run_all": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS view, count(*) AS n_rows FROM ({sql})" for name, sql in _VIEW.items()
+    ),
+    **{
+        name.replace("table_", "refresh_"): sql
+        for name, sql in _SERVE.items()
+        if name.startswith("table_") and not name.startswith("table_speed_")
+    },
     "batch_run_notifications": _VIEW["notification_user_summary"],
     "batch_run_student_courses": _VIEW["student_course_detailed"],
     "stream_active_users": _closed(
