@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from lectern.plans.registry import JOBS, VIEWS, build_view, views_of
 from lectern.session import session
 from lectern.sources import versions
-from lectern.sources.typed import read_typed, write_typed
+from lectern.sources.typed import read_days, read_typed, update_typed, write_typed
 from lectern.sources.views import write_view
 
 
@@ -48,6 +48,7 @@ def run(
     typed_root: str | None = None,
     parallel: int = 8,
     ordered: bool = False,
+    incremental: bool = False,
 ) -> Report:
     """Run jobs (all by default) in one session.
 
@@ -62,7 +63,8 @@ def run(
 
     `parallel` views are written at a time: the last tasks of one overlap with
     the first of the next. A failed topic or view fails the jobs that need it;
-    the others go on. A missing topic is an empty one; without the master dataset itself
+    the others go on. With `incremental`, only files that have come since the last such
+    run are decoded, and the report counts their events. A missing topic is an empty one; without the master dataset itself
     nothing is written.
     """
     wanted = list(jobs) if jobs is not None else list(JOBS)
@@ -79,10 +81,12 @@ def run(
     errors: dict[str, str | None] = {}
 
     def decode(topic: str) -> None:
-        report.events[topic] = write_typed(spark, raw_root, typed_root, topic)
+        write = update_typed if incremental else write_typed
+        report.events[topic] = write(spark, raw_root, typed_root, topic)
 
     def store(name: str) -> None:
-        frame = build_view(name, lambda t: read_typed(spark, typed_root, t), ordered)
+        read = read_days if incremental else read_typed
+        frame = build_view(name, lambda t: read(spark, typed_root, t), ordered)
         write_view(frame, view_root, name)
 
     def decode_or_record(topic: str) -> None:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.schemas import EVENT, TOPICS
+from lectern.schemas import EVENT, RAW, TOPICS
 from lectern.sources import versions
+from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import decode_topic, read_topic
 
 
@@ -34,5 +35,41 @@ def write_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str)
     return seen.get["rows"]
 
 
+def update_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str) -> int:
+    """Decode what has come to a topic since the last call; returns the rows written.
+
+    A file stream over the topic's directory remembers in its checkpoint, beside the
+    table, which files it has read. Its batches are laid out by day and can be run
+    again, so a call that dies is made up for by the next one.
+    """
+    path = f"{typed_root.rstrip('/')}/days/{name}"
+    topic = f"{raw_root.rstrip('/')}/topic={TOPICS[name]}"
+    if not versions.exists(spark, topic):
+        return 0
+    files = spark.readStream.schema(RAW).option("recursiveFileLookup", True).parquet(topic)
+    written: list[int] = []
+
+    def store(rows: DataFrame, batch: int) -> None:
+        seen = Observation(f"typed_{name}_{batch}")
+        events = decode_topic(rows, name).observe(seen, F.count(F.lit(1)).alias("rows"))
+        write_batch(events, path, batch, "timestamp_parsed")
+        written.append(seen.get["rows"])
+
+    (
+        files.writeStream.foreachBatch(store)
+        .option("checkpointLocation", f"{typed_root.rstrip('/')}/checkpoints/{name}")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return sum(written)
+
+
+def read_days(spark: SparkSession, typed_root: str, name: str) -> DataFrame:
+    """The events that `update_typed` has decoded so far."""
+    stored = read_batches(spark, f"{typed_root.rstrip('/')}/days/{name}", typed_schema(name))
+    return stored.select(*typed_schema(name).names)
+
+
 def read_typed(spark: SparkSession, typed_root: str, name: str) -> DataFrame:
     return versions.read(spark, typed_path(typed_root, name), typed_schema(name))
