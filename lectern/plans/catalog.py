@@ -105,8 +105,7 @@ class StoredInputs(Inputs):
         tables = f"{self.root}/tables"
         if not versions.exists(self.spark, tables):
             refresh.refresh_tables(self.spark, f"{self.root}/views", tables, self.as_of())
-        found = keyed.read_lookup(self.spark, f"{tables}/{name}", name.replace("course_student", "student_course"))
-        return keyed.by_course(found) if name == "course_student_enrollment" else found
+        return keyed.read_lookup(self.spark, f"{tables}/{name}", name)
 
     def as_of(self) -> Column:
         return F.lit(self.now)
