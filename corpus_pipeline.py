@@ -23,17 +23,29 @@ from lectern.sources.scratch import stored
 ORACLE_SQL = None
 
 
+#: Rows that a Python worker gets at once: some megabytes of text.
+BATCH_ROWS = 1_000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Sets how many rows go to a Python worker at once, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def _language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return language.drop_unidentified(docs)
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     cleaned = line_dedup.dedup_lines(docs)
     values = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     return cleaned.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return simhash.one_of_each(docs, simhash.similar_documents(docs))
 
 
@@ -43,6 +55,7 @@ def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, the decoded text, and the ids."""
+    _bounded(spark)
     coded = bpe.decode_column(bpe.encode_column(docs))
     return coded.select(
         "doc_id", "lang", "source", F.col("decoded").alias("text"),

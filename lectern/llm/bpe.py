@@ -35,13 +35,14 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE, WINDOW, LONG, REMEMBERED = 1 << 16, 4096, 256, 200_000
+SLICE, WINDOW, LONG, REMEMBERED, KEPT_LISTS = 1 << 16, 4096, 256, 200_000, 100_000
 TOKENIZER = "word_bpe_49k.json"
 WORD_END = "</w>"
 
@@ -94,6 +95,8 @@ class Bpe:
         self.special_marks = regex.compile("|".join(map(regex.escape, marks))) if marks else None
         self.remembered: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
+        self.known: dict[str, list[int]] = {}
+        self.older_known: dict[str, list[int]] = {}
         self._check()
 
     def _check(self) -> None:
@@ -121,6 +124,22 @@ class Bpe:
             most = max(most, reach[a])
         return most
 
+    @cached_property
+    def named_bytes(self) -> dict[int, bytes]:
+        return {i: name.encode() for i, name in self.names.items()}
+
+    @cached_property
+    def text_bytes(self) -> dict[int, bytes]:
+        """What each id stands for, with a space after a word's end."""
+        found = {}
+        for i, name in self.names.items():
+            if name in self.specials:
+                found[i] = name.encode()
+            else:
+                own = bytes(self.byte_of[c] for c in name.removesuffix(WORD_END))
+                found[i] = own + b" " * name.endswith(WORD_END)
+        return found
+
     def merge(self, ids: list[int]) -> list[int]:
         """All merges, lowest rank and then leftmost first."""
         n = len(ids)
@@ -160,7 +179,17 @@ class Bpe:
         return [t for t in ids if t >= 0]
 
     def piece(self, piece: str) -> list[int]:
-        """The ids of a whole short piece."""
+        """The ids of a whole short piece. Of the pieces met the last ones are remembered."""
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.older_known.get(piece) or self.fresh_piece(piece)
+            if len(self.known) >= KEPT_LISTS:
+                self.older_known, self.known = self.known, {}
+            if len(piece) <= 64:
+                self.known[piece] = ids
+        return ids
+
+    def fresh_piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "replace")
         return self.merge([*(self.inner[b] for b in data[:-1]), self.last[data[-1]]])
 
@@ -309,18 +338,14 @@ class Decoder:
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        data = bytearray()
-        for i in ids:
-            name = self.bpe.names[i]
-            if self.joined:
-                data += b" " * self.begun + name.encode()
-            elif i in self.bpe.specials.values():
-                data += name.encode()
-            else:
-                data += bytes(self.bpe.byte_of[c] for c in name.removesuffix(WORD_END))
-                data += b" " * name.endswith(WORD_END)
-            self.begun = True
-        return self.state.decode(bytes(data))
+        if self.joined:
+            data = b" ".join(map(self.bpe.named_bytes.__getitem__, ids))
+            if data and self.begun:
+                data = b" " + data
+            self.begun = self.begun or bool(data)
+        else:
+            data = b"".join(map(self.bpe.text_bytes.__getitem__, ids))
+        return self.state.decode(data)
 
     def close(self) -> str:
         return self.state.decode(b"", True)
@@ -357,7 +382,7 @@ def _entry(bpe: Bpe, piece: str) -> tuple[str, str]:
     """The ids and the decoded text of a piece. Of the pieces met the last ones are remembered."""
     entry = bpe.remembered.get(piece) or bpe.older.get(piece)
     if entry is None:
-        ids = bpe.piece(piece) if len(piece) <= LONG else Encoder(bpe)._whole(piece)
+        ids = bpe.fresh_piece(piece) if len(piece) <= LONG else Encoder(bpe)._whole(piece)
         entry = (" ".join(map(str, ids)), Decoder(bpe).feed(ids))
     if len(piece) <= 64:
         if len(bpe.remembered) >= REMEMBERED:
@@ -376,6 +401,11 @@ def _definition(df: DataFrame, path: str | None):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
+def _ids_of(bpe: Bpe, text: str) -> np.ndarray:
+    """All ids of a text, four bytes each."""
+    return np.fromiter((i for ids in encode(bpe, slices(text)) for i in ids), np.int32)
+
+
 def encode_column(docs: DataFrame, column: str = "text", path: str | None = None, into: str = "ids") -> DataFrame:
     """`docs` with the ids of a text column, as a list."""
     held = _definition(docs, path)
@@ -383,9 +413,7 @@ def encode_column(docs: DataFrame, column: str = "text", path: str | None = None
     @F.pandas_udf("array<int>")
     def ids_of(texts: pd.Series) -> pd.Series:
         bpe = _loaded(held.value)
-        return pd.Series(
-            [[i for ids in encode(bpe, slices(t or "")) for i in ids] for t in texts], dtype=object
-        )
+        return pd.Series([_ids_of(bpe, t or "") for t in texts], dtype=object)
 
     return docs.withColumn(into, ids_of(F.col(f"`{column}`")))
 
@@ -402,7 +430,7 @@ def decode_column(
         out = []
         for ids in lists:
             decoder = Decoder(bpe, joined)
-            out.append(decoder.feed([] if ids is None else ids) + decoder.close())
+            out.append(decoder.feed([] if ids is None else ids.tolist()) + decoder.close())
         return pd.Series(out, dtype=object)
 
     return docs.withColumn(into, text_of(F.col(f"`{column}`")))
