@@ -160,8 +160,8 @@ def test_enrolment_lookup_tables(spark, tmp_path):
         schema,
     )
     keyed.write_enrollment_tables(view, str(tmp_path))
-    forward = spark.read.parquet(f"{tmp_path}/student_course_enrollment")
-    reverse = spark.read.parquet(f"{tmp_path}/course_student_enrollment")
+    forward = keyed.read_lookup(spark, f"{tmp_path}/student_course_enrollment", "student_course_enrollment")
+    reverse = keyed.read_lookup(spark, f"{tmp_path}/course_student_enrollment", "course_student_enrollment")
     assert {(r.student_id, r.course_id, r.enrollment_date, r.videos_watched) for r in forward.collect()} == {
         ("s", "c", NOW, 3),
         ("s", "d", None, 0),
