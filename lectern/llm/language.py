@@ -200,8 +200,19 @@ def identify(docs: DataFrame, model: Model | None = None, text: str = "text") ->
 
 
 def drop_unidentified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """`docs` without the rows that are no language, or whose score is below `least`."""
-    said = identify(docs.withColumn("_kept", F.struct(*[f"`{c}`" for c in docs.columns])))
+    """`docs` without the rows that are no language, or whose score is below `least`.
+
+    If no row can be learned from, only null texts and texts without a letter go.
+    """
+    model = fit(docs)
+    if model is None:
+
+        @F.pandas_udf("boolean")
+        def lettered(texts: pd.Series) -> pd.Series:
+            return pd.Series([len(codes_of(t)) > 0 for t in texts], dtype=bool)
+
+        return docs.filter(lettered(F.col("text")))
+    said = identify(docs.withColumn("_kept", F.struct(*[f"`{c}`" for c in docs.columns])), model)
     return said.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_kept.*")
 
 

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 
 from lectern.llm import language as L
@@ -50,3 +52,15 @@ def test_defined_cases(spark, sf_dir):
     assert L.identify(bare).first()["lang_pred"] == "und"
     kept = L.drop_unidentified(docs.withColumn("score", docs.doc_id))
     assert kept.columns == [*docs.columns, "score"] and kept.count() == docs.count()
+
+
+def test_nothing_to_learn_from_drops_only_what_has_no_letter(spark):
+    """No label at all, or every labelled row held out."""
+    texts = ["the clean text", "ein anderer Text", "\u6587\u5b57", None, "", "12 %% .."]
+    out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    bare = [(i, t, None) for i, t in enumerate(texts)]
+    held = [(i, t, "en") for i, t in zip(out, texts)]
+    for rows in (bare, held):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        assert L.fit(docs) is None
+        assert sorted(map(tuple, L.drop_unidentified(docs).collect())) == sorted(rows[:3])
