@@ -15,12 +15,15 @@ many near copies are cut into chunks, and each two chunks are searched by one ta
 Classes come from star contraction over stored links.
 
 `near_duplicates` links on the fingerprint alone. `similar_documents` links texts of at
-least a given share of common word shingles: it blocks on a fingerprint of the distinct
-words, which moves little between near copies, and verifies with the Hamming distance of
-a longer fingerprint of the shingles. The share of bits in which two such fingerprints
-differ is the angle between their shingle vectors, so the threshold follows from the
-similarity. With 256 bits that estimate is off by 0.03 or so; the threshold leans to
-linking, so pairs from 0.7 on may be linked and pairs below 0.6 are not.
+least a given share of common word shingles. The share of bits in which two
+fingerprints of distinct shingles differ is the angle between the sets, 0.15 at a
+similarity of 0.8. Several independent fingerprints are cut into blocks; two that agree on
+a block, and do not differ further than six standard deviations in three longer check
+fingerprints, are candidates. The number of fingerprints follows from `MISSED`: a pair at
+`similarity` agrees on no block with a probability of at most a millionth, more alike ones
+still less often. (Two texts of four and five shingles, whose bits are uneven sums, differ
+in 0.19 of the bits; for them it is 3 in 10,000.)
+Candidates are linked.
 
 Defined cases: null text and text without words have fingerprint zero; fewer words than
 a shingle are one shingle; a row with null doc_id gets its fingerprint, a null class, and
@@ -31,7 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import acos, comb, pi, sqrt
+from math import acos, ceil, comb, log, log2, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -44,8 +47,9 @@ from lectern.sources.scratch import stored
 
 SHINGLE, DISTANCE, BITS = 3, 3, 64
 CHUNK = 50_000
-# For similar_documents: words of a shingle, share of common shingles, distance of blocks.
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_DISTANCE, CHECK_LONGS = 5, 0.8, 6, 4
+# For similar_documents: words of a shingle, share of common shingles, fingerprints to check
+# candidates by, pairs at that share that may meet in no block, texts in a block's bucket.
+SIMILAR_SHINGLE, SIMILARITY, CHECK_LONGS, MISSED, BUCKET = 5, 0.8, 3, 1e-6, 1_000
 GOLD = 0x4F1BBCDCBFA53E0B
 #: A row through the shuffle costs as much as comparing it with so many others.
 COMPARED = 128
@@ -66,10 +70,10 @@ def _hashes(words: list[bytes], shingle: int, distinct: bool = False) -> np.ndar
 def majority(hashes: np.ndarray) -> np.ndarray:
     """For each column of 64-bit hashes the bits that over half of them have."""
     ones = np.zeros((hashes.shape[1], BITS), np.int64)
-    for start in range(0, len(hashes), 1 << 14):
-        part = np.ascontiguousarray(hashes[start : start + (1 << 14)])
+    for start in range(0, len(hashes), 255):  # as many as a byte counts
+        part = np.ascontiguousarray(hashes[start : start + 255])
         bits = np.unpackbits(part.view(np.uint8).reshape(*part.shape, 8), axis=2, bitorder="little")
-        ones += bits.sum(0, dtype=np.int64)
+        ones += bits.sum(0, dtype=np.uint8)
     return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view(np.int64)[:, 0]
 
 
@@ -79,17 +83,27 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(majority(_hashes(words, shingle)[:, None])[0]) if words else 0
 
 
-def long_fingerprint_of(text: str | None, shingle: int, longs: int = CHECK_LONGS) -> list[int]:
-    """A 64-bit SimHash of the distinct words, then a longer one of the shingles."""
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingles' hashes in order; none for a text without words."""
     words = _words(text)
-    if not words:
-        return [0] * (1 + longs)
-    each = _hashes(words, shingle, distinct=True)[:, None]
+    return np.unique(_hashes(words, shingle, distinct=True)) if words else np.zeros(0, np.uint64)
+
+
+def set_name(shingles: bytes) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    return tuple(np.frombuffer(xxhash.xxh128_digest(shingles), np.int64).tolist())
+
+
+def long_fingerprint_of(shingles: np.ndarray, longs: int) -> list[int]:
+    """Independent 64-bit SimHashes of a set."""
+    if not len(shingles):
+        return [0] * longs
+    each = shingles[:, None]
     with np.errstate(over="ignore"):
         wide = (each ^ each >> np.uint64(31)) * (np.arange(longs, dtype=np.uint64) * np.uint64(2 * GOLD) + np.uint64(GOLD))
         wide = (wide ^ wide >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
         wide ^= wide >> np.uint64(32)
-    return [int(x) for x in (*majority(_hashes(words, 1, distinct=True)[:, None]), *majority(wide))]
+    return majority(wide).tolist()
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -123,13 +137,22 @@ def block_keys(print_: Column, distance: int, blocks: int) -> Column:
     return F.array(*keys)
 
 
-def check_distance(similarity: float, longs: int = CHECK_LONGS) -> int:
-    """In how many bits fingerprints of texts with this share of common shingles differ.
+def share_of_bits(similarity: float) -> float:
+    """The share of bits in which fingerprints of sets with this similarity differ."""
+    return acos(2 * similarity / (1 + similarity)) / pi
 
-    Nearly all of them: the expected number and one and a half standard deviations.
-    """
-    bits, share = BITS * longs, acos(2 * similarity / (1 + similarity)) / pi
-    return round(bits * share + 1.5 * sqrt(bits * share * (1 - share)))
+
+def check_distance(similarity: float, longs: int) -> int:
+    """Bits in which such fingerprints differ: the expected number and six standard deviations."""
+    bits, share = BITS * longs, share_of_bits(similarity)
+    return round(bits * share + 6 * sqrt(bits * share * (1 - share)))
+
+
+def block_plan(texts: int, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """(bits of a block, number of fingerprints), so that a pair is missed with `MISSED` at most."""
+    width = min(14, max(8, ceil(log2(max(texts, 1) / BUCKET))))
+    blocks = log(MISSED) / log(1 - (1 - share_of_bits(similarity)) ** width)
+    return width, ceil(blocks / (BITS // width))
 
 
 def spanning_links(
@@ -162,13 +185,48 @@ def spanning_links(
     return found
 
 
+def bucket_links(
+    prints: np.ndarray, distance: int, left: np.ndarray | None, checks: np.ndarray, most: int
+) -> list[tuple[int, int]]:
+    """Links as of `spanning_links`, by comparing all at once where few are near each other."""
+    n, count, found = len(prints), 0, []
+    if n > 4096:
+        return spanning_links(prints, distance, left, checks, most)
+    met, step = np.zeros(n, bool), max(1, (1 << 18) // n)
+    for start in range(0, n, step):
+        one, other = checks[start : start + step], checks[start:]
+        apart = sum(np.bitwise_count(one[:, None, c] ^ other[None, :, c]) for c in range(checks.shape[1]))
+        u, v = np.nonzero(apart <= most)
+        u, v = u[v > u] + start, v[v > u] + start
+        if left is not None:
+            cross = left[u] != left[v]
+            u, v = u[cross], v[cross]
+        met[u] = met[v] = True
+        count += len(u)
+        if count <= 4 * n:
+            found += zip(u, v)
+    if count <= 4 * n:
+        return found
+    at = np.flatnonzero(met)
+    within = spanning_links(prints[at], distance, None if left is None else left[at], checks[at], most)
+    return [(at[u], at[v]) for u, v in within]
+
+
+def _frame(links: list[np.ndarray]) -> pd.DataFrame:
+    both = np.concatenate([np.zeros((0, 2), np.int64), *links])
+    return pd.DataFrame({"u": both[:, 0], "v": both[:, 1]})
+
+
 def _search(distance: int, checks: list[str], most: int):
     columns = ["table", "key", "low", "high", "chunk", "fingerprint", "rep", *checks]
 
     def links_of(group: np.ndarray) -> np.ndarray:
         left = group[:, 4] == group[:, 2] if group[0, 2] != group[0, 3] else None
         unsigned = np.ascontiguousarray(group).view(np.uint64)
-        pairs = spanning_links(unsigned[:, 5], distance, left, unsigned[:, 7:] if checks else None, most)
+        if checks:
+            pairs = bucket_links(unsigned[:, 5], distance, left, unsigned[:, [5, *range(7, len(columns))]], most)
+        else:
+            pairs = spanning_links(unsigned[:, 5], distance, left)
         return group[:, 6][np.array(pairs, int).reshape(-1, 2)]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,57 +239,59 @@ def _search(distance: int, checks: list[str], most: int):
             yield _frame([links_of(g) for g in groups if len(g) > 1])
         yield _frame([links_of(held)] if len(held) > 1 else [])
 
-    def _frame(links: list[np.ndarray]) -> pd.DataFrame:
-        both = np.concatenate([np.zeros((0, 2), np.int64), *links])
-        return pd.DataFrame({"u": both[:, 0], "v": both[:, 1]})
-
     return search
 
 
+def _chunked(rows: DataFrame, at: list[str], chunks: Column, rep: str = "rep") -> DataFrame:
+    """Each row once for every pair of chunks that its own chunk is in: low, high, chunk."""
+    named = [F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")]
+    return (
+        rows.withColumn("chunk", F.pmod(F.xxhash64(rep), chunks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .select(*rows.columns, "chunk", *named)
+        .repartition(*at, "low", "high")
+        .sortWithinPartitions(*at, "low", "high")
+    )
+
+
 def near_links(
-    nodes: DataFrame,
-    distance: int = DISTANCE,
-    chunk: int = CHUNK,
-    blocks: int | None = None,
-    similarity: float | None = None,
+    nodes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK, blocks: int | None = None
 ) -> DataFrame:
-    """Links (u, v) that connect the ids `rep` of distinct fingerprints as all links would.
-
-    Columns of `nodes` besides fingerprint and rep are the longer fingerprint, for
-    `similarity`.
-    """
+    """Links (u, v) that connect the ids `rep` of distinct fingerprints as all links would."""
     blocks = blocks or block_count(nodes.count(), distance)
-    checks = [c for c in nodes.columns if c not in ("fingerprint", "rep")]
-    keyed = nodes.select(
-        "fingerprint", "rep", *checks, F.inline(block_keys(F.col("fingerprint"), distance, blocks))
-    )
+    keyed = nodes.select("fingerprint", "rep", F.inline(block_keys(F.col("fingerprint"), distance, blocks)))
     sizes = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    dealt = (
-        keyed.join(sizes, ["table", "key"])
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        .select(
-            "table", "key", "chunk", "fingerprint", "rep", *checks,
-            F.least("chunk", "other").alias("low"),
-            F.greatest("chunk", "other").alias("high"),
-        )
-    )
-    at = ["table", "key", "low", "high"]
-    most = check_distance(similarity, len(checks)) if similarity else 0
-    return (
-        dealt.repartition(*at)
-        .sortWithinPartitions(*at)
-        .mapInPandas(_search(distance, checks, most), "u long, v long")
-    )
+    dealt = _chunked(keyed.join(sizes, ["table", "key"]), ["table", "key"], chunks).drop("n")
+    return dealt.mapInPandas(_search(distance, [], 0), "u long, v long")
 
 
-def _classes(prints: DataFrame, names: list[str], **options) -> DataFrame:
-    """`prints` (doc_id and the columns `names`) with component_id."""
-    nodes = stored(
-        prints.filter("doc_id IS NOT NULL").groupBy(*names).agg(F.min("doc_id").alias("rep")), "simhash"
-    )
-    found = components(near_links(nodes, **options))
+def candidate_links(
+    nodes: DataFrame, prints: list[str], width: int, similarity: float, chunk: int = CHUNK
+) -> DataFrame:
+    """Links (u, v) that connect all ids `rep` whose fingerprints `prints` share a block of
+    `width` bits and differ in no more bits of check0, check1 ... than `similarity` allows.
+    """
+    checks = [f"check{i}" for i in range(CHECK_LONGS)]
+    keys = [
+        F.struct(
+            F.lit(table).alias("table"),
+            F.shiftrightunsigned(name, at * width).bitwiseAND(F.lit((1 << width) - 1)).cast("int").alias("key"),
+        )
+        for table, (name, at) in enumerate((n, i) for n in prints for i in range(BITS // width))
+    ]
+    renamed = [F.col(checks[0]).alias("fingerprint"), "rep", *checks[1:]]
+    keyed = nodes.select(*renamed, F.inline(F.array(*keys)))
+    # Few buckets are that large, so they go to all executors and the rows move once.
+    large = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk)
+    chunks = F.coalesce(F.ceil(F.col("n") / chunk).cast("int"), F.lit(1))
+    dealt = _chunked(keyed.join(F.broadcast(large), ["table", "key"], "left"), ["table", "key"], chunks).drop("n")
+    search = _search(check_distance(similarity, 1), checks[1:], check_distance(similarity, CHECK_LONGS))
+    return dealt.mapInPandas(search, "u long, v long")
+
+
+def _classes(prints: DataFrame, names: list[str], nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """`prints` (doc_id and the columns `names`) with component_id, by components of `nodes`."""
     classes = nodes.join(found, nodes["rep"] == found["node"], "left").select(
         *names, F.coalesce("component", "rep").alias("class")
     )
@@ -244,7 +304,9 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of all rows; the class is its smallest doc_id."""
     prints = stored(fingerprints(docs, shingle), "simhash")
-    classes = _classes(prints, ["fingerprint"], distance=distance, chunk=chunk)
+    known = prints.filter("doc_id IS NOT NULL")
+    nodes = stored(known.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "simhash")
+    classes = _classes(prints, ["fingerprint"], nodes, components(near_links(nodes, distance, chunk)))
     return classes.select("doc_id", "fingerprint", "component_id")
 
 
@@ -252,20 +314,30 @@ def similar_documents(
     docs: DataFrame,
     shingle: int = SIMILAR_SHINGLE,
     similarity: float = SIMILARITY,
-    distance: int = SIMILAR_DISTANCE,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """(doc_id, component_id) of all rows, linked from `similarity` of common shingles on."""
-    names = ["fingerprint", *(f"check{i}" for i in range(CHECK_LONGS))]
+    width, count = block_plan(docs.count(), similarity)
+    blocked = [f"print{i}" for i in range(count)]
+    longs = [*(f"check{i}" for i in range(CHECK_LONGS)), *blocked]
+    names = ["set0", "set1"]  # equal sets, by 128 bits
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in names))
+    @F.pandas_udf(", ".join(f"{n} long" for n in [*names, "size", *longs]))
     def simhash(texts: pd.Series) -> pd.DataFrame:
-        rows = [long_fingerprint_of(t, shingle) for t in texts]
-        return pd.DataFrame(np.array(rows, np.int64).reshape(-1, len(names)), columns=names)
+        rows = np.zeros((len(texts), len(names) + 1 + len(longs)), np.int64)
+        for row, text in zip(rows, texts):
+            shingles = shingle_set(text, shingle)
+            row[:2] = set_name(shingles.tobytes())
+            row[2] = len(shingles)
+            row[3:] = long_fingerprint_of(shingles, len(longs))
+        return pd.DataFrame(rows, columns=[*names, "size", *longs])
 
     prints = stored(docs.select("doc_id", simhash(F.col("text")).alias("p")).select("doc_id", "p.*"), "simhash")
-    classes = _classes(prints, names, distance=distance, chunk=chunk, similarity=similarity)
-    return classes.select("doc_id", "component_id")
+    first = [F.first(n).alias(n) for n in ["size", *longs]]
+    known = prints.filter("doc_id IS NOT NULL")
+    nodes = stored(known.groupBy(*names).agg(F.min("doc_id").alias("rep"), *first), "simhash")
+    found = components(candidate_links(nodes, blocked, width, similarity, chunk))
+    return _classes(prints.select("doc_id", *names), names, nodes, found).select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:

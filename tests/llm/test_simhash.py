@@ -4,7 +4,9 @@ import pytest
 import xxhash
 
 from lectern.llm.components import components
-from lectern.llm.simhash import block_count, near_duplicates, near_links, one_of_each, similar_documents
+from lectern.llm.simhash import (
+    block_count, block_plan, near_duplicates, near_links, one_of_each, share_of_bits, similar_documents,
+)
 
 MASK = (1 << 64) - 1
 
@@ -122,3 +124,54 @@ def test_similar_documents(spark):
     assert len(wrong) <= 2, wrong
     n = len(kinds)
     assert [got[i] for i in range(n, n + 5)] == [0, n + 1, n + 1, n + 3, n + 4]
+
+
+def _edited(rng, word, n):
+    """A text and its copies: (share of common shingles, copy)."""
+    base = [word() for _ in range(n)]
+    copies = []
+    for part in (0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3):
+        more = max(1, round(n * part))
+        copies.append(base + [word() for _ in range(more)])  # appended
+        copies.append([word() for _ in range(more)] + base)  # put before
+        copies.append(base[: n - more])  # cut short
+        copies.append(base[more // 2 : n - more // 2])  # cut at both ends
+        copy = list(base)
+        for at in rng.sample(range(n), max(1, more // 5)):
+            copy[at] = word()
+        copies.append(copy)
+    return base, copies
+
+
+def _share(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("options", [{}, {"chunk": 20}])
+def test_similar_documents_links_from_the_share_on(spark, options):
+    """Additions, cuts and substitutions: linked from 0.8 on without a miss."""
+    rng = random.Random(21)
+    word = lambda: f"w{int(rng.paretovariate(0.6)) % 3000}"
+    pairs = []
+    for n in (30, 60, 100, 300, 1000) * 4:
+        base, copies = _edited(rng, word, n)
+        pairs += [(_share(base, c), base, c) for c in copies]
+    # Each pair by itself: its words are those of no other pair.
+    docs = []
+    for i, (_, a, b) in enumerate(pairs):
+        for at, words in enumerate((a, b)):
+            docs.append((2 * i + at, " ".join(f"{w}x{i}" for w in words)))
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(
+        spark.createDataFrame(docs, "doc_id long, text string"), **options).collect()}
+    linked = [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))]
+    assert [s for (s, *_), l in zip(pairs, linked) if s >= 0.8 and not l] == []
+    assert sum(s >= 0.8 for s, *_ in pairs) > 200
+
+
+def test_block_plan_bound():
+    """The share of pairs at 0.8 that meet in no block is a millionth at most, at all sizes."""
+    for texts in (0, 10, 10**5, 10**6, 10**7, 10**8):
+        width, count = block_plan(texts)
+        share = share_of_bits(0.8)
+        assert (1 - (1 - share) ** width) ** (count * (64 // width)) <= 1e-6
