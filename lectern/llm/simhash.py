@@ -15,15 +15,17 @@ many near copies are cut into chunks, and each two chunks are searched by one ta
 Classes come from star contraction over stored links.
 
 `near_duplicates` links on the fingerprint alone. `similar_documents` links texts of at
-least a given share of common word shingles. The share of bits in which two
+least a given share of common word shingles, exactly. The share of bits in which two
 fingerprints of distinct shingles differ is the angle between the sets, 0.15 at a
 similarity of 0.8. Several independent fingerprints are cut into blocks; two that agree on
 a block, and do not differ further than six standard deviations in three longer check
 fingerprints, are candidates. The number of fingerprints follows from `MISSED`: a pair at
 `similarity` agrees on no block with a probability of at most a millionth, more alike ones
 still less often. (Two texts of four and five shingles, whose bits are uneven sums, differ
-in 0.19 of the bits; for them it is 3 in 10,000.)
-Candidates are linked.
+in 0.19 of the bits; for them it is 3 in 10,000.) Classes of candidates hold all pairs that
+are linked; in each the shingle sets themselves are compared, and only pairs that reach
+`similarity` are links. A class of more than ELEMENTS shingles is cut into chunks, each two
+of which are one task; the rows of such a class are sent once per chunk.
 
 Defined cases: null text and text without words have fingerprint zero; fewer words than
 a shingle are one shingle; a row with null doc_id gets its fingerprint, a null class, and
@@ -50,6 +52,8 @@ CHUNK = 50_000
 # For similar_documents: words of a shingle, share of common shingles, fingerprints to check
 # candidates by, pairs at that share that may meet in no block, texts in a block's bucket.
 SIMILAR_SHINGLE, SIMILARITY, CHECK_LONGS, MISSED, BUCKET = 5, 0.8, 3, 1e-6, 1_000
+#: Shingles of a class of candidates that one task holds, or twice as many of two chunks.
+ELEMENTS = 4_000_000
 GOLD = 0x4F1BBCDCBFA53E0B
 #: A row through the shuffle costs as much as comparing it with so many others.
 COMPARED = 128
@@ -290,6 +294,86 @@ def candidate_links(
     return dealt.mapInPandas(search, "u long, v long")
 
 
+def exact_links(sets: list[np.ndarray], similarity: float, left: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links (by place) that keep all reachability by pairs of at least that similarity.
+
+    With `left`, only those between a member of it and another count.
+    """
+    sizes = np.array([len(s) for s in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner, ends = np.repeat(np.arange(len(sets)), sizes), np.cumsum(sizes)
+    own = [ids[end - size : end] for end, size in zip(ends, sizes)]
+    marked = np.zeros(len(ids) + 1, bool)
+    rest, found = np.arange(len(sets)), []
+    while len(rest) > 1:
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            node = queue.pop()
+            marked[own[node]] = True
+            common = np.bincount(owner[marked[ids]], minlength=len(sets))[rest]
+            marked[own[node]] = False
+            near = common >= similarity * (sizes[rest] + sizes[node] - common) - 1e-9
+            if left is not None:
+                near &= left[rest] != left[node]
+            if not near.any():
+                continue
+            reached, rest = rest[near], rest[~near]
+            found += [(node, other) for other in reached]
+            queue += list(reached)
+            stay = np.zeros(len(sets), bool)
+            stay[rest] = True
+            owner, ids = owner[stay[owner]], ids[stay[owner]]
+    return found
+
+
+def _verify(similarity: float):
+    columns = ["component", "low", "high", "chunk", "rep", "shingles"]
+
+    def links_of(rows: list[tuple]) -> np.ndarray:
+        _, low, high, *_ = rows[0]
+        left = np.array([r[3] == low for r in rows]) if low != high else None
+        pairs = exact_links([np.frombuffer(r[5], np.uint64) for r in rows], similarity, left)
+        return np.array([r[4] for r in rows], np.int64)[np.array(pairs, int).reshape(-1, 2)]
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by class and chunks; the last group of a batch waits for the next."""
+        rows: list[tuple] = []
+        for batch in batches:
+            links = []
+            for row in batch[columns].itertuples(index=False, name=None):
+                if rows and rows[0][:3] != row[:3]:
+                    links.append(links_of(rows))
+                    rows = []
+                rows.append(row)
+            yield _frame(links)
+        yield _frame([links_of(rows)] if rows else [])
+
+    return verify
+
+
+def similar_links(
+    docs: DataFrame, nodes: DataFrame, loose: DataFrame, shingle: int, similarity: float, elements: int
+) -> DataFrame:
+    """Links (u, v) by exact similarity within the classes `loose` (node, component)."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["shingles"] = [shingle_set(t, shingle).tobytes() for t in batch["text"]]
+            # An id may have other texts, too, that count with another representative.
+            own = [set_name(s)[0] in names for s, names in zip(batch["shingles"], batch["own"])]
+            yield batch[np.array(own, bool)][["rep", "component", "chunks", "shingles"]]
+
+    ids = nodes.groupBy("rep").agg(F.sum("size").alias("size"), F.collect_set("set0").alias("own"))
+    members = ids.join(loose, ids["rep"] == loose["node"])
+    sizes = members.groupBy("component").agg(F.ceil(F.sum("size") / elements).cast("int").alias("chunks"))
+    chunks = F.greatest("chunks", F.lit(1)).alias("chunks")
+    named = members.join(sizes, "component").select("rep", "component", "own", chunks)
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    texts = texts.join(named, "rep").dropDuplicates(["rep", "text"])
+    rows = texts.mapInPandas(sets, "rep long, component long, chunks int, shingles binary")
+    return _chunked(rows, ["component"], F.col("chunks")).mapInPandas(_verify(similarity), "u long, v long")
+
+
 def _classes(prints: DataFrame, names: list[str], nodes: DataFrame, found: DataFrame) -> DataFrame:
     """`prints` (doc_id and the columns `names`) with component_id, by components of `nodes`."""
     classes = nodes.join(found, nodes["rep"] == found["node"], "left").select(
@@ -315,6 +399,7 @@ def similar_documents(
     shingle: int = SIMILAR_SHINGLE,
     similarity: float = SIMILARITY,
     chunk: int = CHUNK,
+    elements: int = ELEMENTS,
 ) -> DataFrame:
     """(doc_id, component_id) of all rows, linked from `similarity` of common shingles on."""
     width, count = block_plan(docs.count(), similarity)
@@ -336,7 +421,8 @@ def similar_documents(
     first = [F.first(n).alias(n) for n in ["size", *longs]]
     known = prints.filter("doc_id IS NOT NULL")
     nodes = stored(known.groupBy(*names).agg(F.min("doc_id").alias("rep"), *first), "simhash")
-    found = components(candidate_links(nodes, blocked, width, similarity, chunk))
+    loose = components(candidate_links(nodes, blocked, width, similarity, chunk))
+    found = components(similar_links(docs, nodes, loose, shingle, similarity, elements))
     return _classes(prints.select("doc_id", *names), names, nodes, found).select("doc_id", "component_id")
 
 

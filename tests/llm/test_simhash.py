@@ -148,9 +148,9 @@ def _share(a, b):
     return len(a & b) / len(a | b)
 
 
-@pytest.mark.parametrize("options", [{}, {"chunk": 20}])
+@pytest.mark.parametrize("options", [{}, {"elements": 100, "chunk": 20}])
 def test_similar_documents_links_from_the_share_on(spark, options):
-    """Additions, cuts and substitutions: linked from 0.8 on without a miss."""
+    """Additions, cuts and substitutions: linked from 0.8 on without a miss, not below."""
     rng = random.Random(21)
     word = lambda: f"w{int(rng.paretovariate(0.6)) % 3000}"
     pairs = []
@@ -167,6 +167,8 @@ def test_similar_documents_links_from_the_share_on(spark, options):
     linked = [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))]
     assert [s for (s, *_), l in zip(pairs, linked) if s >= 0.8 and not l] == []
     assert sum(s >= 0.8 for s, *_ in pairs) > 200
+    assert [s for (s, *_), l in zip(pairs, linked) if s < 0.8 and l] == []
+    assert sum(0.65 <= s < 0.8 for s, *_ in pairs) > 50
 
 
 def test_block_plan_bound():
@@ -175,3 +177,17 @@ def test_block_plan_bound():
         width, count = block_plan(texts)
         share = share_of_bits(0.8)
         assert (1 - (1 - share) ** width) ** (count * (64 // width)) <= 1e-6
+
+
+def test_classes_follow_exact_links_only(spark):
+    """A chain of texts, each alike only to its neighbours, is one class; what is near it is not."""
+    rng = random.Random(3)
+    words = [f"w{rng.getrandbits(40)}" for _ in range(1200)]
+    chain = [words[at : at + 300] for at in range(0, 900, 30)]
+    aside = [words[150:300] + [f"v{i}" for i in range(50)] + words[300:400]]
+    docs = [(i, " ".join(w)) for i, w in enumerate(chain + aside)]
+    assert max(_share(aside[0], c) for c in chain) < 0.8 <= min(_share(a, b) for a, b in zip(chain, chain[1:]))
+    for elements in (10**6, 1000):
+        frame = spark.createDataFrame(docs + [docs[5]], "doc_id long, text string")
+        got = {r["doc_id"]: r["component_id"] for r in similar_documents(frame, elements=elements).collect()}
+        assert got == {**{i: 0 for i in range(len(chain))}, len(chain): len(chain)}
