@@ -22,7 +22,7 @@ a block, and do not differ further than six standard deviations in three longer
 fingerprints, are candidates. The number of fingerprints follows from `MISSED`: a pair at
 `similarity` agrees on no block with a probability of at most a millionth, more alike ones
 still less often. (Two texts of four and five shingles, whose bits are uneven sums, differ
-in 0.19 of the bits; for them it is 3 in 10,000.) Classes of candidates hold all pairs that
+in 0.19 of the bits; for them it is up to 6 in 10,000.) Classes of candidates hold all pairs that
 are linked; in each the shingle sets themselves are compared, and only pairs that reach
 `similarity` are links. A class of more than ELEMENTS shingles is cut into chunks, each two
 of which are one task; the rows of such a class are sent once per chunk.
