@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import (
     bpe,
+    byte_bpe,
+    centroids,
+    hard_negatives,
     html_text,
     language,
     line_dedup,
@@ -34,6 +37,9 @@ _MODULES = {
     "op8_language": language,
     "op9_neighbours": neighbours,
     "op10_repeats": repeats,
+    "op11_byte_bpe": byte_bpe,
+    "op12_centroids": centroids,
+    "op13_hard_negatives": hard_negatives,
 }
 
 
