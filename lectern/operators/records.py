@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.keyed import newest, oldest
 from lectern.operators.serving import AsOf, moment
-from lectern.schemas import STREAM_EVENT, TOPICS, ddl
+from lectern.schemas import STREAM_EVENT, TOPICS
 from lectern.sources.events import decode
+from lectern.sources.listing import data_files
 
 # Name parts that mark a column as a date, in English and Vietnamese.
 DATE_NAME_PARTS = ("date", "time", "dob", "ngay", "gio")
@@ -132,27 +132,6 @@ def topic_freshness(
     )
 
 
-def data_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, size and modification time of the data files under `root`.
-
-    A listing: the file contents are never opened.
-    """
-    columns = ["path", "modificationTime", "length"]
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(root)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        schema = ddl("path STRING, modificationTime TIMESTAMP, length BIGINT")
-        return spark.createDataFrame([], schema)
-    return files.select(*columns)
-
-
 def freshness(spark: SparkSession, roots: dict[str, str], as_of: AsOf) -> DataFrame:
     """Per data set (master, batch, speed): its files and how many are recent."""
     now = F.unix_timestamp(moment(as_of))

@@ -20,6 +20,7 @@ from lectern.operators import (
     cross_domain,
     notification,
     profile,
+    rolled,
     video,
 )
 
@@ -141,11 +142,19 @@ def sort_columns(order: tuple[str, ...]) -> list[Column]:
 
 def build_view(name: str, topic_frame: TopicFrames, ordered: bool = True) -> DataFrame:
     """A view from typed topic frames; `topic_frame("auth")` gives the auth events."""
-    view = VIEWS[name]
+    return _build(VIEWS[name], VIEWS[name].build, topic_frame, ordered)
+
+
+def build_rolled(name: str, rollup: TopicFrames, ordered: bool = False) -> DataFrame:
+    """The same view from the topics' rollups; `rollup("auth")` gives the auth rollup."""
+    return _build(VIEWS[name], rolled.BUILD[name], rollup, ordered)
+
+
+def _build(view: View, build: Callable[..., DataFrame], topic_frame: TopicFrames, ordered: bool) -> DataFrame:
     inputs = [topic_frame(t) for t in view.topics]
     if view.students_only:
         inputs = [cross_domain.students_only(df) for df in inputs]
-    result = view.build(*inputs)
+    result = build(*inputs)
     return result.orderBy(*sort_columns(view.order)) if ordered and view.order else result
 
 

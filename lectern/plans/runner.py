@@ -1,6 +1,6 @@
 """Batch runner: decode each topic once, then build and store the views.
 
-    python -m lectern.plans.runner [JOB] RAW_ROOT VIEW_ROOT
+    python -m lectern.plans.runner [--incremental] [JOB] RAW_ROOT VIEW_ROOT
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
-from lectern.plans.registry import JOBS, VIEWS, build_view, views_of
+from lectern.plans.registry import JOBS, VIEWS, build_rolled, build_view, views_of
 from lectern.session import session
-from lectern.sources import versions
-from lectern.sources.typed import read_days, read_typed, update_typed, write_typed
+from lectern.sources import rollups, versions
+from lectern.sources.typed import read_typed, update_typed, write_typed
 from lectern.sources.views import write_view
 
 
@@ -63,9 +63,14 @@ def run(
 
     `parallel` views are written at a time: the last tasks of one overlap with
     the first of the next. A failed topic or view fails the jobs that need it;
-    the others go on. With `incremental`, only files that have come since the last such
-    run are decoded, and the report counts their events. A missing topic is an empty one; without the master dataset itself
+    the others go on. A missing topic is an empty one; without the master dataset itself
     nothing is written.
+
+    With `incremental`, only directories of the master dataset that changed since the last
+    such run are decoded, and the report counts their events; only the days they belong
+    to are rolled up again (beside the views, `rollup_path`), and views are made from the
+    rollups of all days. When all went well, the newest day becomes the horizon up to
+    which `rollups.merged` relies on the batch.
     """
     wanted = list(jobs) if jobs is not None else list(JOBS)
     unknown = sorted(set(wanted) - set(JOBS))
@@ -80,13 +85,19 @@ def run(
     report = Report()
     errors: dict[str, str | None] = {}
 
+    rolled_root = rollup_path(view_root)
+
     def decode(topic: str) -> None:
         write = update_typed if incremental else write_typed
         report.events[topic] = write(spark, raw_root, typed_root, topic)
+        if incremental:
+            rollups.update(spark, typed_root, rolled_root, topic)
 
     def store(name: str) -> None:
-        read = read_days if incremental else read_typed
-        frame = build_view(name, lambda t: read(spark, typed_root, t), ordered)
+        if incremental:
+            frame = build_rolled(name, lambda t: rollups.read(spark, rolled_root, t), ordered)
+        else:
+            frame = build_view(name, lambda t: read_typed(spark, typed_root, t), ordered)
         write_view(frame, view_root, name)
 
     def decode_or_record(topic: str) -> None:
@@ -104,16 +115,25 @@ def run(
         report.jobs[job] = next(
             (f"{v.name}: {errors[v.name]}" for v in views_of(job) if errors[v.name]), None
         )
+    if incremental and report.ok:
+        rollups.set_horizon(spark, rolled_root, topics)
     return report
 
 
+def rollup_path(view_root: str) -> str:
+    """Where an incremental run keeps the rollups of the views."""
+    return f"{view_root.rstrip('/')}_rollups"
+
+
 def main(arguments: list[str]) -> int:
+    incremental = "--incremental" in arguments
+    arguments = [a for a in arguments if a != "--incremental"]
     if len(arguments) not in (2, 3):
         print(__doc__)
         print(f"    jobs: {', '.join(JOBS)}")
         return 2
     *job, raw_root, view_root = arguments
-    report = run(session("lectern batch views"), raw_root, view_root, job or None)
+    report = run(session("lectern batch views"), raw_root, view_root, job or None, incremental=incremental)
     for topic, rows in report.events.items():
         print(f"{topic}: {rows} events")
     for name, error in report.jobs.items():

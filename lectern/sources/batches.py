@@ -22,18 +22,19 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, time: str, *first: st
     Only those directories are replaced, so a batch that is run again after a
     failure overwrites its first attempt instead of adding to it. Rows are dealt to
     tasks by directory, and by size where one is large, so that a batch leaves a
-    file or so per day and not one per task and day.
+    file or so per day and not one per task and day. A stream repeats a batch with the
+    same records, so the second attempt has the days of the first.
     """
     dated = rows.withColumn("day", day_number(F.col(time))).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint")
     )
-    (
-        dated.hint("rebalance", *first, "day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*first, "day", "batch_id")
-        .parquet(path)
-    )
+    replace_directories(dated.hint("rebalance", *first, "day"), path, *first, "day", "batch_id")
+
+
+def replace_directories(rows: DataFrame, path: str, *by: str) -> None:
+    """Write rows below directories named by columns, replacing those that the rows have."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -49,19 +49,21 @@ def raw_envelope(broker: DataFrame) -> DataFrame:
     )
 
 
-def decode(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """JSON text to typed columns. Malformed text keeps its row, with NULL fields.
+def decode(raw: DataFrame, schema: T.StructType, *kept: Column | str) -> DataFrame:
+    """JSON text to typed columns, after the raw columns in `kept`.
+
+    Malformed text keeps its row, with NULL fields.
 
     `inline` makes the decode a plan node of its own. With a plain projection
     Catalyst copies `from_json` into every filter it pushes below it and parses
     each record once per copy.
     """
-    return raw.select(F.inline(F.array(F.from_json(F.col("value"), schema))))
+    return raw.select(*kept, F.inline(F.array(F.from_json(F.col("value"), schema))))
 
 
-def decode_topic(raw: DataFrame, name: str) -> DataFrame:
+def decode_topic(raw: DataFrame, name: str, *kept: Column | str) -> DataFrame:
     """Typed events of a topic with their event time parsed."""
-    return decode(raw, EVENT[name]).withColumn("timestamp_parsed", event_time())
+    return decode(raw, EVENT[name], *kept).withColumn("timestamp_parsed", event_time())
 
 
 def encode(events: DataFrame, key: str, topic: Column, broker_time: Column) -> DataFrame:

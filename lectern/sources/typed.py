@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.schemas import EVENT, RAW, TOPICS
-from lectern.sources import versions
-from lectern.sources.batches import read_batches, write_batch
+from lectern.sources import manifest, versions
+from lectern.sources.batches import PARTITIONS, read_batches, replace_directories
 from lectern.sources.events import decode_topic, read_topic
 
 
@@ -35,40 +35,52 @@ def write_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str)
     return seen.get["rows"]
 
 
+def days_path(typed_root: str, name: str) -> str:
+    return f"{typed_root.rstrip('/')}/days/{name}"
+
+
+def days_schema(name: str) -> T.StructType:
+    return T.StructType([T.StructField("arrived", T.TimestampType()), *typed_schema(name).fields])
+
+
+def directories_path(typed_root: str, name: str) -> str:
+    return f"{typed_root.rstrip('/')}/directories/{name}"
+
+
 def update_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str) -> int:
-    """Decode what has come to a topic since the last call; returns the rows written.
+    """Decode the directories of a topic that changed since the last call; returns the rows written.
 
-    A file stream over the topic's directory remembers in its checkpoint, beside the
-    table, which files it has read. Its batches are laid out by day and can be run
-    again, so a call that dies is made up for by the next one.
+    The table is laid out as the master dataset is, by day of arrival and batch, and each
+    of its directories is made from the master's directory of the same name. A batch that
+    was written again, or was seen half-way before, is decoded again and replaces what
+    was there; a directory that the master has no longer goes. `arrived` is the broker's
+    time of each event.
     """
-    path = f"{typed_root.rstrip('/')}/days/{name}"
-    topic = f"{raw_root.rstrip('/')}/topic={TOPICS[name]}"
-    if not versions.exists(spark, topic):
-        return 0
-    files = spark.readStream.schema(RAW).option("recursiveFileLookup", True).parquet(topic)
-    written: list[int] = []
-
-    def store(rows: DataFrame, batch: int) -> None:
-        seen = Observation(f"typed_{name}_{batch}")
-        events = decode_topic(rows, name).observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_batch(events, path, batch, "timestamp_parsed")
-        written.append(seen.get["rows"])
-
-    (
-        files.writeStream.foreachBatch(store)
-        .option("checkpointLocation", f"{typed_root.rstrip('/')}/checkpoints/{name}")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return sum(written)
+    source, path = f"{raw_root.rstrip('/')}/topic={TOPICS[name]}", days_path(typed_root, name)
+    known, listed = directories_path(typed_root, name), f"{typed_root.rstrip('/')}/listed/{name}"
+    manifest.write(manifest.directories(spark, source), listed)
+    now, before = (manifest.read(spark, p, manifest.DIRECTORIES) for p in (listed, known))
+    new, lost = manifest.changed(now, before), manifest.gone(now, before)
+    rows = 0
+    if not new.isEmpty():
+        days = [r["day"] for r in new.select("day").distinct().collect()]
+        parts = T.StructType([*RAW.fields, *PARTITIONS])
+        raw = spark.read.schema(parts).option("basePath", raw_root).parquet(source).where(manifest.on_days(days))
+        raw = raw.join(new, manifest.same(raw, new, ["day", "batch_id"]), "left_semi")
+        seen = Observation(f"typed_{name}")
+        events = decode_topic(raw.withColumnRenamed("timestamp", "arrived"), name, "day", "batch_id", "arrived")
+        events = events.observe(seen, F.count(F.lit(1)).alias("rows"))
+        replace_directories(events.hint("rebalance", "day"), path, "day", "batch_id")
+        rows = seen.get["rows"]
+    if not lost.isEmpty():
+        manifest.drop_directories(spark, path, lost)
+    manifest.write(now, known)
+    return rows
 
 
 def read_days(spark: SparkSession, typed_root: str, name: str) -> DataFrame:
-    """The events that `update_typed` has decoded so far."""
-    stored = read_batches(spark, f"{typed_root.rstrip('/')}/days/{name}", typed_schema(name))
-    return stored.select(*typed_schema(name).names)
+    """The events that `update_typed` has decoded so far, with `arrived`, `day` and `batch_id`."""
+    return read_batches(spark, days_path(typed_root, name), days_schema(name))
 
 
 def read_typed(spark: SparkSession, typed_root: str, name: str) -> DataFrame:

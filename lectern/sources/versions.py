@@ -2,7 +2,7 @@
 
 Readers take the newest run that Spark has marked as complete, so a write that dies
 half-way leaves the table as it was. The run before the newest stays for readers that
-have begun with it.
+have begun with it; what died before that one is removed with the older runs.
 """
 
 from __future__ import annotations
@@ -28,6 +28,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
 def _runs(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """Names of the runs, oldest first, and whether each is complete."""
     files, at = _files(spark, path)
@@ -45,9 +50,9 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
     number = 1 + max((int(n[len(PREFIX) :].split("-")[0]) for n, _ in before), default=0)
     write(f"{path}/{PREFIX}{number:09d}-{uuid.uuid4().hex[:8]}")
     complete = [n for n, done in before if done]
-    files, _ = _files(spark, path)
-    for old in complete[:-1]:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}"), True)
+    dead = [n for n, done in before if not done and complete and n < complete[-1]]
+    for old in [*complete[:-1], *dead]:
+        delete(spark, f"{path}/{old}")
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
