@@ -29,7 +29,9 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ from lectern.sources.scratch import stored
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CHUNK, OVERLAP, GROWTH = 8_192, 512, 16
-REMEMBERED, LONG = 200_000, 64
+REMEMBERED, LONG, SHORT = 250_000, 64, 48
 #: A pre-token that ends this far before the end of what is seen cannot change: the
 #: pattern looks at most two characters beyond the start of a contraction.
 SURE = 2
@@ -58,15 +60,50 @@ class Ranks(dict):
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.kind = np.dtype("<u2" if max(self.tokens, default=0) < 1 << 16 else "<u4")
         self.pattern = regex.compile(pattern)
+        self.older: dict[str, bytes] = {}
+        self.single = [self.ranks[bytes([b])] for b in range(256)]
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.merged(piece.encode()), self.kind).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            merge = self.merged_short if len(data) <= SHORT else self.merged
+            ids = np.array(merge(data), self.kind).tobytes()
         if len(piece) <= LONG:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
+    @cached_property
+    def joined(self) -> dict[int, int]:
+        """The id of each token that two others make, by their ids."""
+        ranks, found = self.ranks, {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = rank
+        return found
+
+    def merged_short(self, piece: bytes) -> list[int]:
+        """The same as `merged` for a few bytes, by searching the list of pairs for each merge."""
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        joined, none = self.joined.get, 1 << 32
+        ids = [self.single[b] for b in piece]
+        pairs = [joined(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
+            ids[at] = best
+            del ids[at + 1], pairs[at]
+            if at:
+                pairs[at - 1] = joined(ids[at - 1] << 32 | best, none)
+            if at < len(pairs):
+                pairs[at] = joined(best << 32 | ids[at + 1], none)
+        return ids
+
     def merged(self, piece: bytes) -> list[int]:
         """Adjacent parts of the lowest rank become one, leftmost first, while there are any."""
         if piece in self.ranks:
@@ -174,16 +211,18 @@ def _long(texts: DataFrame, held, step: int, overlap: int) -> DataFrame:
             made = pd.DataFrame(rows, columns=["ids", "head", "tail"])
             yield pd.concat([batch[["digest", "number"]], made], axis=1)
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        ranks = _loaded(*held.value)
-        group = group.sort_values("number")
-        ids = stitch(list(zip(group["ids"], group["head"], group["tail"])), step, ranks.kind)
-        return pd.DataFrame({"digest": group["digest"].iloc[:1], "ids": [None if ids is None else ids.astype(np.int32)]})
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kind = _loaded(*held.value).kind
+        rows = (row for b in batches for row in zip(b["digest"], b["ids"], b["head"], b["tail"]))
+        for digest, chunks in groupby(rows, itemgetter(0)):
+            ids = stitch([chunk[1:] for chunk in chunks], step, kind)
+            yield pd.DataFrame({"digest": [digest], "ids": [None if ids is None else ids.astype(np.int32)]})
 
     parts = texts.select("digest", "text").mapInPandas(cut, "digest string, number int, part string, complete boolean")
     once = parts.groupBy("digest", "number", "complete").agg(F.min("part").alias("part"))
     seen = once.mapInPandas(view, "digest string, number int, ids binary, head binary, tail binary")
-    return seen.groupBy("digest").applyInPandas(join, "digest string, ids array<int>")
+    ordered = seen.repartition("digest").sortWithinPartitions("digest", "number")
+    return ordered.mapInPandas(join, "digest string, ids array<int>")
 
 
 def encode(

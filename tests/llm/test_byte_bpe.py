@@ -75,3 +75,10 @@ def test_query_equals_the_library(spark, sf_dir, library):
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert not texts
+
+
+def test_short_and_long_merges_agree(ranks):
+    pick = random.Random(8)
+    for _ in range(500):
+        data = bytes(pick.choice(b"abcdeth \xc3\xa9\xe6\x97") for _ in range(pick.randrange(1, 40)))
+        assert ranks.merged_short(data) == ranks.merged(data)
