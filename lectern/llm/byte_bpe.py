@@ -28,7 +28,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 from itertools import groupby
 from operator import itemgetter
@@ -43,8 +44,8 @@ from pyspark.sql import functions as F
 from lectern.sources.scratch import stored
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CHUNK, OVERLAP, GROWTH = 8_192, 512, 16
-REMEMBERED, LONG, SHORT = 250_000, 64, 48
+CHUNK, OVERLAP, GROWTH, FRAME = 8_192, 512, 16, 1 << 20
+REMEMBERED, LONG, SHORT = 400_000, 64, 48
 #: A pre-token that ends this far before the end of what is seen cannot change: the
 #: pattern looks at most two characters beyond the start of a contraction.
 SURE = 2
@@ -68,7 +69,7 @@ class Ranks(dict):
         if ids is None:
             data = piece.encode()
             merge = self.merged_short if len(data) <= SHORT else self.merged
-            ids = np.array(merge(data), self.kind).tobytes()
+            ids = array(self.kind.char, merge(data)).tobytes()
         if len(piece) <= LONG:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -77,31 +78,34 @@ class Ranks(dict):
         return ids
 
     @cached_property
-    def joined(self) -> dict[int, int]:
-        """The id of each token that two others make, by their ids."""
-        ranks, found = self.ranks, {}
+    def joined(self) -> list[dict[int, int]]:
+        """Per id the ids that may follow it, and the token that both make."""
+        ranks = self.ranks
+        found: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]
         for token, rank in ranks.items():
             for i in range(1, len(token)):
                 left, right = ranks.get(token[:i]), ranks.get(token[i:])
                 if left is not None and right is not None:
-                    found[left << 32 | right] = rank
+                    found[left][right] = rank
         return found
 
     def merged_short(self, piece: bytes) -> list[int]:
         """The same as `merged` for a few bytes, by searching the list of pairs for each merge."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        joined, none = self.joined.get, 1 << 32
-        ids = [self.single[b] for b in piece]
-        pairs = [joined(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
-        while pairs and (best := min(pairs)) < none:
+        joined, none = self.joined, 1 << 29
+        ids = list(map(self.single.__getitem__, piece))
+        pairs = [joined[a].get(b, none) for a, b in zip(ids, ids[1:])]
+        while (best := min(pairs)) < none:
             at = pairs.index(best)
             ids[at] = best
             del ids[at + 1], pairs[at]
             if at:
-                pairs[at - 1] = joined(ids[at - 1] << 32 | best, none)
+                pairs[at - 1] = joined[ids[at - 1]].get(best, none)
             if at < len(pairs):
-                pairs[at] = joined(best << 32 | ids[at + 1], none)
+                pairs[at] = joined[best].get(ids[at + 1], none)
+            elif not at:
+                break
         return ids
 
     def merged(self, piece: bytes) -> list[int]:
@@ -187,19 +191,31 @@ def stitch(chunks: list[tuple[bytes, bytes, bytes]], step: int, kind: np.dtype)
     return np.concatenate(parts)
 
 
+def frames(rows: Iterator[tuple], columns: list[str], weight: Callable[[tuple], int]) -> Iterator[pd.DataFrame]:
+    """Rows in frames of bounded weight (and one row at least)."""
+    some: list[tuple] = []
+    held = 0
+    for row in rows:
+        some.append(row)
+        held += weight(row) + 1
+        if held >= FRAME:
+            yield pd.DataFrame(some, columns=columns)
+            some, held = [], 0
+    if some:
+        yield pd.DataFrame(some, columns=columns)
+
+
 def _long(texts: DataFrame, held, step: int, overlap: int) -> DataFrame:
     """(digest, ids or null) of each distinct text of more than `step` characters."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for digest, text in zip(batch["digest"], batch["text"]):
-                starts = range(0, len(text), step)
-                for low in range(0, len(starts), 64):
-                    some = starts[low : low + 64]
-                    yield pd.DataFrame({
-                        "digest": digest, "number": range(low, low + len(some)), "part": [text[s : s + step + overlap] for s in some],
-                        "complete": [s + step + overlap >= len(text) for s in some],
-                    })
+        rows = (
+            (digest, number, text[start : start + step + overlap], start + step + overlap >= len(text))
+            for batch in batches
+            for digest, text in zip(batch["digest"], batch["text"])
+            for number, start in enumerate(range(0, len(text), step))
+        )
+        yield from frames(rows, ["digest", "number", "part", "complete"], lambda row: len(row[2]))
 
     def view(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -214,9 +230,9 @@ def _long(texts: DataFrame, held, step: int, overlap: int) -> DataFrame:
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kind = _loaded(*held.value).kind
         rows = (row for b in batches for row in zip(b["digest"], b["ids"], b["head"], b["tail"]))
-        for digest, chunks in groupby(rows, itemgetter(0)):
-            ids = stitch([chunk[1:] for chunk in chunks], step, kind)
-            yield pd.DataFrame({"digest": [digest], "ids": [None if ids is None else ids.astype(np.int32)]})
+        texts = ((digest, stitch([chunk[1:] for chunk in chunks], step, kind)) for digest, chunks in groupby(rows, itemgetter(0)))
+        stitched = ((digest, None if ids is None else ids.astype(np.int32)) for digest, ids in texts)
+        yield from frames(stitched, ["digest", "ids"], lambda row: 1 if row[1] is None else len(row[1]))
 
     parts = texts.select("digest", "text").mapInPandas(cut, "digest string, number int, part string, complete boolean")
     once = parts.groupBy("digest", "number", "complete").agg(F.min("part").alias("part"))
