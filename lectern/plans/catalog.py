@@ -15,16 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.columns import as_ntz, event_time
-from lectern.operators import records, serving, speed
+from lectern.operators import realtime, records, serving, speed
+from lectern.operators.rollups import daily_users
 from lectern.plans import refresh, runner
-from lectern.plans.registry import VIEWS, build_view
+from lectern.plans.registry import VIEWS, build_rolled, build_view
 from lectern.schemas import TOPICS
-from lectern.sources import keyed, versions
+from lectern.sources import keyed, rollups, versions
+from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
 from lectern.sources.scratch import shared_folder
 from lectern.sources.streams import master_sink
 from lectern.sources.views import read_view
+from lectern.streaming import realtime as realtime_streams
+from lectern.streaming import rollups as stream_rollups
 from lectern.streaming import speed as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +115,51 @@ class StoredInputs(Inputs):
         return F.lit(self.now)
 
 
+#: Where each session has stored the layers of a directory.
+_LAYERED: dict[tuple[str, str], str] = {}
+
+#: In the merged queries the batch counts what arrived before, the stream the rest.
+CUT = datetime.date(2024, 1, 16)
+
+
+class LayeredInputs(Inputs):
+    """Batch and stream rollups of the same records, and both kinds of batch run.
+
+    The first query of a session over a directory stores them. The master dataset comes in
+    three batches of users; the incremental run sees the first, then the others together
+    with the first written anew.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _LAYERED:
+            _LAYERED[key] = self._store()
+        self.root = _LAYERED[key]
+
+    def _store(self) -> str:
+        root = shared_folder(self.spark, "layers")
+        raw = self.raw().withColumn("part", F.pmod(F.xxhash64("key"), F.lit(3)))
+        for parts in ([0], [0, 1, 2]):
+            for part in parts:
+                rows = raw.where(F.col("part") == part).drop("part")
+                write_batch(rows, f"{root}/master", part, "timestamp", "topic")
+            report = runner.run(self.spark, f"{root}/master", f"{root}/views", incremental=True)
+            if not report.ok:
+                raise RuntimeError(report.jobs)
+        events = self.spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{self.sf_dir}/events*.parquet")
+        stream_rollups.start(derive(events), f"{root}/stream", f"{root}/checkpoint", None).awaitTermination()
+        return root
+
+    def rollup(self, name: str) -> DataFrame:
+        batch = runner.rollup_path(f"{self.root}/views")
+        return rollups.merged(self.spark, batch, f"{self.root}/stream", name, CUT)
+
+    def sketches(self, name: str) -> DataFrame:
+        batch = runner.rollup_path(f"{self.root}/views")
+        return rollups.merged_sketches(self.spark, batch, f"{self.root}/stream", name, CUT)
+
+
 def _query(build: Callable[[Inputs], DataFrame], inputs: type[Inputs] = Inputs) -> Query:
     return lambda spark, sf_dir: as_ntz(build(inputs(spark, sf_dir)))
 
@@ -119,6 +168,67 @@ def _view_query(name: str) -> Query:
     return lambda spark, sf_dir: as_ntz(build_view(name, typed_topics(spark, sf_dir)))
 
 
+# ---- merged layers and incremental runs ------------------------------------------
+
+
+def _incremental(i: LayeredInputs) -> DataFrame:
+    """Each view as the incremental run left it: its rows, and whether they are those of a full run."""
+    full = f"{i.root}/full"
+    if not versions.exists(i.spark, full):
+        report = runner.run(i.spark, f"{i.root}/master", full)
+        if not report.ok:
+            raise RuntimeError(report.jobs)
+
+    def said(root: str, name: str) -> DataFrame:
+        view = read_view(i.spark, root, name)
+        row = F.xxhash64(*[F.col(c).cast("string") for c in sorted(view.columns)])
+        return view.agg(
+            F.lit(name).alias("view"), F.count(F.lit(1)).alias("n_rows"), F.sum(row.cast("decimal(38,0)")).alias("total")
+        )
+
+    both = reduce(
+        DataFrame.unionByName, [said(r, n) for n in VIEWS for r in (f"{i.root}/views", full)]
+    )
+    same = (F.min("n_rows") == F.max("n_rows")) & F.min("total").eqNullSafe(F.max("total"))
+    return both.groupBy("view").agg(F.max("n_rows").alias("n_rows"), same.alias("as_full_run"))
+
+
+def _daily_users(i: LayeredInputs) -> DataFrame:
+    """Course events and users per day from merged sketches, and whether the users are
+    within three standard errors, or one user, of the exact number."""
+    keys = ["date", "event_type"]
+    near = daily_users(i.sketches("course"))
+    exact = i.rollup("course").groupBy(*keys).agg(F.countDistinct("user_id").alias("exact"))
+    a, b = near.alias("a"), exact.alias("b")
+    match = F.col("a.date").eqNullSafe(F.col("b.date")) & F.col("a.event_type").eqNullSafe(F.col("b.event_type"))
+    off = F.abs(F.col("users") - F.col("exact"))
+    within = off <= F.greatest(F.lit(1.0), 3 * 0.01625 * F.col("exact"))
+    return a.join(b, match).select(
+        F.col("a.date").cast("string").alias("date"), F.col("a.event_type").alias("event_type"), "events",
+        within.alias("within"),
+    )
+
+
+#: Views shown from merged layers: each topic's, and those of several topics.
+MERGED = (
+    "auth_user_session_metrics",
+    "assessment_engagement_timeline",
+    "video_student_course_summary",
+    "course_activity_summary",
+    "profile_update_frequency",
+    "notification_user_preferences",
+    "course_overview",
+    "student_overview",
+    "student_course_enrollment",
+    "student_course_detailed",
+)
+
+LAYERED: dict[str, Callable[[LayeredInputs], DataFrame]] = {
+    "batch_run_incremental": _incremental,
+    "merge_daily_users": _daily_users,
+    **{f"merge_{name}": (lambda i, name=name: build_rolled(name, i.rollup)) for name in MERGED},
+}
+
 # ---- sources and ingestion ---------------------------------------------------
 
 
@@ -267,7 +377,60 @@ def _streamed_within(length: str) -> Query:
     return query
 
 
+def _topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{sf_dir}/events*.parquet"))
+
+
+def _streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark, "sessions")
+    raw = _topic_stream(spark, sf_dir)
+    streaming = realtime_streams.start_sessions(raw, f"{root}/out", f"{root}/checkpoint", SESSION_GAP, interval=None)
+    streaming.awaitTermination()
+    kinds = realtime_streams.SESSIONS
+    return as_ntz(read_batches(spark, f"{root}/out", kinds).select(*kinds.names))
+
+
+def _streamed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark, "reads")
+    raw = _topic_stream(spark, sf_dir)
+    streaming = realtime_streams.start_reads(raw, f"{root}/out", f"{root}/checkpoint", READ_WITHIN, interval=None)
+    streaming.awaitTermination()
+    kinds = realtime_streams.READS
+    return as_ntz(read_batches(spark, f"{root}/out", kinds).select(*kinds.names))
+
+
+def _streamed_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark, "queue")
+    raw = _topic_stream(realtime_streams.stateful_session(spark), sf_dir)
+    realtime_streams.start_grading_queue(raw, f"{root}/out", f"{root}/checkpoint", interval=None).awaitTermination()
+    return as_ntz(realtime_streams.read_queue(spark, f"{root}/out"))
+
+
+SESSION_GAP, READ_WITHIN = "6 hours", "3 days"
+
+REALTIME: dict[str, Callable[[Inputs], DataFrame]] = {
+    "auth_realtime_session_activity": lambda i: realtime.session_activity(i.stream_events(), SESSION_GAP),
+    "auth_peak_concurrent_users": lambda i: realtime.concurrency(realtime.logged_in(i.topic("auth"))),
+    "video_realtime_concurrent_viewers": lambda i: realtime.concurrency(
+        realtime.watching(i.topic("video")), 15 * 60
+    ),
+    "course_material_access_times": lambda i: realtime.access_times(i.topic("course")),
+    "course_material_access_summary": lambda i: realtime.access_summary(i.topic("course")),
+    "notification_read_times": lambda i: realtime.reads_by_time(
+        *realtime.reading_sides(i.topic("notification").where("timestamp_parsed IS NOT NULL"), "timestamp_parsed"), 3 * 86400
+    ),
+    "notification_reading_summary": lambda i: realtime.reading_summary(
+        realtime.reads_by_time(
+            *realtime.reading_sides(i.topic("notification").where("timestamp_parsed IS NOT NULL"), "timestamp_parsed"), 3 * 86400
+        )
+    ),
+    "assessment_realtime_grading_queue": lambda i: realtime.grading_queue(i.topic("assessment")),
+}
+
 STREAMED: dict[str, Query] = {
+    "stream_session_activity": _streamed_sessions,
+    "stream_notification_reads": _streamed_reads,
+    "stream_grading_queue": _streamed_queue,
     "ingest_master_dataset": _ingested,
     "batch_run_all": _run_all,
     **{
@@ -446,10 +609,11 @@ RECORDS: dict[str, Callable[[Inputs], DataFrame]] = {
 
 
 def queries() -> dict[str, Query]:
-    built = {**INGEST, **WINDOWED, **SERVE, **RECORDS}
+    built = {**INGEST, **WINDOWED, **REALTIME, **SERVE, **RECORDS}
     reads = {name: StoredInputs for name in SERVE if name.startswith("serve_")}
     return {
         **{name: _view_query(name) for name in VIEWS},
         **{name: _query(build, reads.get(name, Inputs)) for name, build in built.items()},
+        **{name: _query(build, LayeredInputs) for name, build in LAYERED.items()},
         **STREAMED,
     }

@@ -824,11 +824,132 @@ FROM typed GROUP BY event_category""",
 }
 
 
+_SESSIONS = """
+SELECT user_id, min(tp) AS window_start, max(tp) + INTERVAL 6 HOUR AS window_end, count(*) AS events,
+       count(*) FILTER (event_type = 'LOGIN') AS logins, count(*) FILTER (event_type = 'LOGOUT') AS logouts
+FROM (SELECT *, sum(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY tp) AS session
+      FROM (SELECT *, coalesce(tp - lag(tp) OVER (PARTITION BY user_id ORDER BY tp) > INTERVAL 6 HOUR, true) AS gap
+            FROM typed WHERE event_category = 'AUTH' AND user_id IS NOT NULL AND tp IS NOT NULL))
+GROUP BY user_id, session"""
+
+
+def _concurrent(intervals: str, seconds: int) -> str:
+    """Intervals that hold each instant at which one begins or a bucket does, counted one by one."""
+    bucket = f"time_bucket(INTERVAL {seconds} SECOND, moment, TIMESTAMP '2000-01-01')"
+    return f"""
+SELECT w AS window_start, w + INTERVAL {seconds} SECOND AS window_end, max(n) AS peak_concurrent,
+       (SELECT count(*) FROM ({intervals}) WHERE starts >= w AND starts < w + INTERVAL {seconds} SECOND) AS started
+FROM (
+  SELECT {bucket} AS w, moment, count(*) AS n
+  FROM (SELECT DISTINCT starts AS moment FROM ({intervals})
+        UNION SELECT unnest(generate_series(
+          (SELECT time_bucket(INTERVAL {seconds} SECOND, min(starts), TIMESTAMP '2000-01-01') FROM ({intervals})),
+          (SELECT max(ends) FROM ({intervals})), INTERVAL {seconds} SECOND))) instants
+  JOIN ({intervals}) spans ON spans.starts <= moment AND moment < spans.ends
+  GROUP BY moment)
+GROUP BY w"""
+
+
+_WATCHING = """
+  SELECT tp AS starts, tp + to_seconds(watch_duration_seconds) AS ends FROM video
+  WHERE event_type = 'VIDEO_WATCHED' AND tp IS NOT NULL AND watch_duration_seconds > 0"""
+_LOGGED_IN = """
+  SELECT min(tp) FILTER (event_type = 'LOGIN') AS starts, max(tp) FILTER (event_type = 'LOGOUT') AS ends
+  FROM auth WHERE session_id IS NOT NULL AND event_type IN ('LOGIN', 'LOGOUT')
+  GROUP BY session_id HAVING ends > starts"""
+
+_ACCESSED = """
+SELECT *, date_diff('second', enrolled_at, accessed_at) / 3600 AS hours_to_access,
+       CASE WHEN date_diff('second', enrolled_at, accessed_at) <= 86400 THEN 'on_time'
+            WHEN enrolled_at IS NOT NULL AND accessed_at IS NOT NULL THEN 'late' END AS status
+FROM (SELECT user_id, course_id, material_id, material_type, tp AS accessed_at,
+             (SELECT max(e.tp) FROM course e WHERE e.event_type = 'COURSE_ENROLLED' AND e.user_id = a.user_id
+                AND e.course_id = a.course_id AND e.tp <= a.tp) AS enrolled_at
+      FROM course a WHERE event_type = 'ACCESS_COURSE_MATERIAL')"""
+
+_OPENED = """
+SELECT s.user_id, s.notification_id, s.notification_type, s.tp AS sent_at, o.tp AS opened_at
+FROM (SELECT * FROM notification WHERE event_type = 'NOTIFICATION_SENT' AND user_id IS NOT NULL
+        AND notification_id IS NOT NULL AND tp IS NOT NULL) s
+LEFT JOIN (SELECT * FROM notification WHERE event_type = 'NOTIFICATION_OPENED') o
+  ON o.user_id = s.user_id AND o.notification_id = s.notification_id
+ AND o.tp >= s.tp AND o.tp <= s.tp + INTERVAL 3 DAY"""
+
+_QUEUED = """
+SELECT assignment_id, count(*) FILTER (event_type = 'SUBMIT_ASSIGNMENT') AS submitted,
+       count(*) FILTER (event_type = 'GRADE_ASSIGNMENT') AS graded, submitted - graded AS depth
+FROM assessment
+WHERE event_type IN ('SUBMIT_ASSIGNMENT', 'GRADE_ASSIGNMENT') AND assignment_id IS NOT NULL
+GROUP BY assignment_id"""
+
+_REALTIME = {
+    "auth_realtime_session_activity": _SESSIONS,
+    "auth_peak_concurrent_users": _concurrent(_LOGGED_IN, 3600),
+    "video_realtime_concurrent_viewers": _concurrent(_WATCHING, 900),
+    "course_material_access_times": _ACCESSED,
+    "course_material_access_summary": f"""
+SELECT course_id, material_id, count(*) AS accesses, count(*) FILTER (status = 'on_time') AS on_time,
+       count(*) FILTER (status = 'late') AS late,
+       sum(date_diff('second', enrolled_at, accessed_at)) / (count(enrolled_at) * 3600) AS avg_hours_to_access
+FROM ({_ACCESSED}) GROUP BY course_id, material_id""",
+    "notification_read_times": _OPENED,
+    "notification_reading_summary": f"""
+SELECT notification_type, count(opened_at) AS reads, count(*) FILTER (opened_at IS NULL) AS unread,
+       sum(date_diff('second', sent_at, opened_at)) / (count(opened_at) * 60) AS avg_time_to_read_minutes
+FROM ({_OPENED}) GROUP BY notification_type""",
+    "assessment_realtime_grading_queue": f"""
+SELECT q.*, coalesce(greatest(peak, 0), 0) AS peak_depth FROM ({_QUEUED}) q LEFT JOIN (
+  SELECT assignment_id, CAST(max(total) AS BIGINT) AS peak FROM (
+    SELECT assignment_id, sum(CASE event_type WHEN 'SUBMIT_ASSIGNMENT' THEN 1 ELSE -1 END)
+             OVER (PARTITION BY assignment_id ORDER BY tp) AS total
+    FROM assessment WHERE event_type IN ('SUBMIT_ASSIGNMENT', 'GRADE_ASSIGNMENT') AND tp IS NOT NULL)
+  GROUP BY assignment_id) p USING (assignment_id)""",
+    "stream_session_activity": f"""
+SELECT * FROM ({_SESSIONS}) WHERE window_end <= (
+  SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE event_category = 'AUTH' AND user_id IS NOT NULL)""",
+    "stream_notification_reads": f"""
+SELECT * FROM ({_OPENED}) WHERE opened_at IS NOT NULL OR sent_at + INTERVAL 3 DAY < (
+  SELECT min(newest) - INTERVAL 1 MINUTE FROM (
+    SELECT max(tp) AS newest FROM notification
+    WHERE event_type IN ('NOTIFICATION_SENT', 'NOTIFICATION_OPENED') AND user_id IS NOT NULL
+      AND notification_id IS NOT NULL GROUP BY event_type))""",
+    "stream_grading_queue": f"""
+SELECT q.*, updated FROM ({_QUEUED}) q JOIN (
+  SELECT assignment_id, max(tp) AS updated FROM assessment
+  WHERE event_type IN ('SUBMIT_ASSIGNMENT', 'GRADE_ASSIGNMENT') GROUP BY assignment_id) USING (assignment_id)""",
+}
+
+_LAYERED = {
+    "batch_run_incremental": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS view, count(*) AS n_rows, true AS as_full_run FROM ({sql})"
+        for name, sql in _VIEW.items()
+    ),
+    "merge_daily_users": (
+        "SELECT date, event_type, count(*) AS events, true AS within FROM course GROUP BY date, event_type"
+    ),
+    **{
+        f"merge_{name}": _VIEW[name]
+        for name in (
+            "auth_user_session_metrics",
+            "assessment_engagement_timeline",
+            "video_student_course_summary",
+            "course_activity_summary",
+            "profile_update_frequency",
+            "notification_user_preferences",
+            "course_overview",
+            "student_overview",
+            "student_course_enrollment",
+            "student_course_detailed",
+        )
+    },
+}
+
+
 def statements() -> dict[str, str]:
     events = f"WITH {_DERIVED},{_RAW},{_TYPED}"
     served = f"{events},{_VIEW_CTES}"
     return {
-        **{n: f"{events}{sql}" for n, sql in {**_VIEW, **_WINDOWED, **_RECORDS}.items()},
+        **{n: f"{events}{sql}" for n, sql in {**_VIEW, **_WINDOWED, **_REALTIME, **_RECORDS, **_LAYERED}.items()},
         **{n: f"{events}\n{sql}" for n, sql in _INGEST.items()},
         **{n: f"{served}\n{sql}" for n, sql in {**_SERVE, **_STREAMED}.items()},
     }

@@ -110,6 +110,10 @@ def read_stream(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return read_batches(spark, _path(root, "rollups", topic), rollup_schema(topic))
 
 
+def _day(cut: int | datetime.date) -> int:
+    return cut if isinstance(cut, int) else (cut - datetime.date(1970, 1, 1)).days
+
+
 def merged(
     spark: SparkSession, batch_root: str, stream_root: str, topic: str, cut: int | datetime.date | None = None
 ) -> DataFrame:
@@ -119,9 +123,7 @@ def merged(
     the last incremental run; without one the stream counts everything that has a time
     of arrival. Both sides skip the directories of the other's days.
     """
-    if isinstance(cut, datetime.date):
-        cut = (cut - datetime.date(1970, 1, 1)).days
-    cut = horizon(spark, batch_root) if cut is None else cut
+    cut = horizon(spark, batch_root) if cut is None else _day(cut)
     batch, stream = read(spark, batch_root, topic), read_stream(spark, stream_root, topic)
     columns = rollup_schema(topic).names
     if cut is None:
@@ -131,9 +133,10 @@ def merged(
 
 
 def merged_sketches(
-    spark: SparkSession, batch_root: str, stream_root: str, topic: str, cut: int
+    spark: SparkSession, batch_root: str, stream_root: str, topic: str, cut: int | datetime.date
 ) -> DataFrame:
     """Sketches of all events: the batch's stored ones, and one made of the stream's rollups."""
+    cut = _day(cut)
     columns = [f.name for f in _sketch_schema(topic).fields if f.name != "day"]
     batch = read_sketches(spark, batch_root, topic).where(F.col("day").isNull() | (F.col("day") < cut))
     stream = read_stream(spark, stream_root, topic).where(F.col("day") >= cut)
