@@ -913,10 +913,13 @@ SELECT * FROM ({_OPENED}) WHERE opened_at IS NOT NULL OR sent_at + INTERVAL 3 DA
     SELECT max(tp) AS newest FROM notification
     WHERE event_type IN ('NOTIFICATION_SENT', 'NOTIFICATION_OPENED') AND user_id IS NOT NULL
       AND notification_id IS NOT NULL GROUP BY event_type))""",
-    "stream_grading_queue": f"""
-SELECT q.*, updated FROM ({_QUEUED}) q JOIN (
-  SELECT assignment_id, max(tp) AS updated FROM assessment
-  WHERE event_type IN ('SUBMIT_ASSIGNMENT', 'GRADE_ASSIGNMENT') GROUP BY assignment_id) USING (assignment_id)""",
+    "stream_grading_queue": """
+SELECT assignment_id, count(*) FILTER (event_type = 'SUBMIT_ASSIGNMENT') AS submitted,
+       count(*) FILTER (event_type = 'GRADE_ASSIGNMENT') AS graded, submitted - graded AS depth,
+       max(tp) AS updated
+FROM assessment
+WHERE event_type IN ('SUBMIT_ASSIGNMENT', 'GRADE_ASSIGNMENT') AND assignment_id IS NOT NULL AND tp IS NOT NULL
+GROUP BY assignment_id""",
 }
 
 _LAYERED = {

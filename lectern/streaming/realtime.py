@@ -7,11 +7,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lectern.operators import realtime, speed
 from lectern.schemas import TOPICS, ddl
-from lectern.session import STREAM_SETTINGS
 from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import decode_topic
 from lectern.functions.keyed import newest
@@ -23,6 +23,7 @@ READS = ddl(
     "user_id STRING, notification_id STRING, notification_type STRING, sent_at TIMESTAMP, opened_at TIMESTAMP"
 )
 QUEUE = ddl("assignment_id STRING, submitted BIGINT, graded BIGINT, depth BIGINT, updated TIMESTAMP")
+QUEUE_STATE = ddl("submitted BIGINT, graded BIGINT, updated TIMESTAMP")
 
 
 def _start(
@@ -60,65 +61,57 @@ def start_reads(
     return _start(read, "notification_reads", "append", write, checkpoint, interval)
 
 
-class GradingQueue(StatefulProcessor):
-    """Works submitted and graded per assignment; forgotten `ttl_ms` after the last event."""
+def grading_queue(ttl_ms: int) -> Callable:
+    """Works submitted and graded per assignment, forgotten once the watermark is `ttl_ms` past the last.
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        kinds = "submitted BIGINT, graded BIGINT, updated TIMESTAMP"
-        self.state = handle.getValueState("queue", kinds, self.ttl_ms)
+    Event time, not the clock, so that a replay forgets what the first run forgot.
+    """
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        submitted, graded, updated = self.state.get() if self.state.exists() else (0, 0, None)
+    def count(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        submitted, graded, updated = state.get if state.exists else (0, 0, None)
         for part in rows:
             submitted += int(part["submitted"].sum())
             graded += int(part["graded"].sum())
-            times = [t for t in (updated, part["at"].max()) if not pd.isnull(t)]
-            updated = max(map(pd.Timestamp, times), default=None)
-        at = updated.to_pydatetime() if updated is not None else None
-        self.state.update((submitted, graded, at))
+            times = [pd.Timestamp(t) for t in (updated, part["at"].max()) if not pd.isnull(t)]
+            updated = max(times, default=None)
+        state.update((submitted, graded, None if updated is None else updated.to_pydatetime()))
+        last = int(updated.timestamp() * 1000) if updated is not None else 0
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + ttl_ms)
         yield pd.DataFrame({
             "assignment_id": [key[0]], "submitted": [submitted], "graded": [graded],
-            "depth": [submitted - graded], "updated": [updated],
-        }).astype({"updated": "datetime64[us]"})
+            "depth": [submitted - graded], "updated": pd.Series([updated], dtype="datetime64[us]"),
+        })
 
-    def close(self) -> None:
-        pass
+    return count
 
 
 def queue_changes(events: DataFrame) -> DataFrame:
-    """Submissions and gradings of assignments, combined per assignment and instant."""
+    """Submissions and gradings of assignments at a known time."""
     kind = F.col("event_type")
     both = events.where(kind.isin("SUBMIT_ASSIGNMENT", "GRADE_ASSIGNMENT") & F.col("assignment_id").isNotNull())
     one = lambda name: (kind == name).cast("bigint")
     return both.select(
         "assignment_id", one("SUBMIT_ASSIGNMENT").alias("submitted"), one("GRADE_ASSIGNMENT").alias("graded"),
         F.col("timestamp_parsed").alias("at"),
-    )
-
-
-def stateful_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application with the state store that custom state needs."""
-    own = spark.newSession()
-    for key, value in {**STREAM_SETTINGS, "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone")}.items():
-        own.conf.set(key, value)
-    return own
+    ).where(F.col("at").isNotNull())
 
 
 def start_grading_queue(
-    raw: DataFrame, path: str, checkpoint: str, ttl_hours: float = 24 * 30, interval: str | None = "30 seconds"
+    raw: DataFrame, path: str, checkpoint: str, ttl_hours: float = 24 * 30, watermark: str = "1 minute",
+    interval: str | None = "30 seconds",
 ) -> StreamingQuery:
     """Depth of each assignment's grading queue: a row per assignment that a micro-batch touched.
 
-    `raw` must come from a session with the RocksDB state store (`stateful_session`). An
-    assignment is forgotten `ttl_hours` after its last change, so state does not grow
+    An assignment is forgotten `ttl_hours` after its last change, so state does not grow
     with all assignments ever.
     """
     events = decode_topic(raw.where(F.col("topic") == TOPICS["assessment"]), "assessment")
-    rows = queue_changes(events).groupBy("assignment_id").transformWithStateInPandas(
-        GradingQueue(int(ttl_hours * 3_600_000)), QUEUE, "update", "processingTime"
+    changes = queue_changes(events).withWatermark("at", watermark)
+    rows = changes.groupBy("assignment_id").applyInPandasWithState(
+        grading_queue(int(ttl_hours * 3_600_000)), QUEUE, QUEUE_STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
     write = lambda rows, batch: write_batch(rows, path, batch, "updated")
     return _start(rows, "grading_queue", "update", write, checkpoint, interval)
