@@ -926,6 +926,7 @@ _LAYERED = {
     "batch_run_incremental": "\nUNION ALL ".join(
         f"SELECT '{name}' AS view, count(*) AS n_rows, true AS as_full_run FROM ({sql})"
         for name, sql in _VIEW.items()
+        if name.startswith("video_")
     ),
     "merge_daily_users": (
         "SELECT date, event_type, count(*) AS events, true AS within FROM course GROUP BY date, event_type"

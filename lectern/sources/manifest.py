@@ -77,6 +77,6 @@ def on_days(days: list[int | None]) -> Column:
 def drop_directories(spark: SparkSession, root: str, entries: DataFrame) -> None:
     """Delete the directories of `entries`: (day) or (day, batch_id)."""
     names = [c for c in entries.columns if c != "mark"]
-    for row in entries.select(*names).toLocalIterator():
+    for row in entries.select(*names).coalesce(1).toLocalIterator():
         at = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if row[n] is None else row[n]}" for n in names)
         versions.delete(spark, f"{root.rstrip('/')}/{at}")
