@@ -52,6 +52,8 @@ CHUNK = 50_000
 # For similar_documents: words of a shingle, share of common shingles, fingerprints to check
 # candidates by, pairs at that share that may meet in no block, texts in a block's bucket.
 SIMILAR_SHINGLE, SIMILARITY, CHECK_LONGS, MISSED, BUCKET = 5, 0.8, 3, 1e-6, 1_000
+#: Tables searched before classes are first formed.
+FIRST = 2
 #: Shingles of a class of candidates that one task holds, or twice as many of two chunks.
 ELEMENTS = 4_000_000
 GOLD = 0x4F1BBCDCBFA53E0B
@@ -216,21 +218,45 @@ def bucket_links(
     return [(at[u], at[v]) for u, v in within]
 
 
+def uniting(pairs: list[tuple[int, int]], classes: np.ndarray) -> np.ndarray:
+    """Of links by place, those that unite classes not united before, as pairs of classes."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
+    kept = []
+    for u, v in pairs:
+        one, other = int(classes[u]), int(classes[v])
+        low, high = sorted((top(one), top(other)))
+        if low != high:
+            above[high] = low
+            kept.append((one, other))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
 def _frame(links: list[np.ndarray]) -> pd.DataFrame:
     both = np.concatenate([np.zeros((0, 2), np.int64), *links])
     return pd.DataFrame({"u": both[:, 0], "v": both[:, 1]})
 
 
 def _search(distance: int, checks: list[str], most: int):
+    """Links of ids, or with `checks` of the classes that rows are in already."""
     columns = ["table", "key", "low", "high", "chunk", "fingerprint", "rep", *checks]
+    columns += ["class"] * bool(checks)
 
     def links_of(group: np.ndarray) -> np.ndarray:
         left = group[:, 4] == group[:, 2] if group[0, 2] != group[0, 3] else None
         unsigned = np.ascontiguousarray(group).view(np.uint64)
         if checks:
-            pairs = bucket_links(unsigned[:, 5], distance, left, unsigned[:, [5, *range(7, len(columns))]], most)
-        else:
-            pairs = spanning_links(unsigned[:, 5], distance, left)
+            classes = group[:, -1]
+            if (classes == classes[0]).all():
+                return np.zeros((0, 2), np.int64)
+            own = [5, *range(7, 7 + len(checks))]
+            return uniting(bucket_links(unsigned[:, 5], distance, left, unsigned[:, own], most), classes)
+        pairs = spanning_links(unsigned[:, 5], distance, left)
         return group[:, 6][np.array(pairs, int).reshape(-1, 2)]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,10 +297,13 @@ def near_links(
 
 
 def candidate_links(
-    nodes: DataFrame, prints: list[str], width: int, similarity: float, chunk: int = CHUNK
+    nodes: DataFrame, tables: list[tuple[str, int]], width: int, similarity: float, chunk: int = CHUNK
 ) -> DataFrame:
-    """Links (u, v) that connect all ids `rep` whose fingerprints `prints` share a block of
-    `width` bits and differ in no more bits of check0, check1 ... than `similarity` allows.
+    """Links (u, v) that connect the values of `class` of all nodes that agree on a block
+    and differ in no more bits of check0, check1 ... than `similarity` allows.
+
+    A table is a fingerprint and the number of the block of `width` bits in it. A bucket
+    gives at most one link less than it has classes.
     """
     checks = [f"check{i}" for i in range(CHECK_LONGS)]
     keys = [
@@ -282,9 +311,9 @@ def candidate_links(
             F.lit(table).alias("table"),
             F.shiftrightunsigned(name, at * width).bitwiseAND(F.lit((1 << width) - 1)).cast("int").alias("key"),
         )
-        for table, (name, at) in enumerate((n, i) for n in prints for i in range(BITS // width))
+        for table, (name, at) in enumerate(tables)
     ]
-    renamed = [F.col(checks[0]).alias("fingerprint"), "rep", *checks[1:]]
+    renamed = [F.col(checks[0]).alias("fingerprint"), "rep", *checks[1:], "class"]
     keyed = nodes.select(*renamed, F.inline(F.array(*keys)))
     # Few buckets are that large, so they go to all executors and the rows move once.
     large = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk)
@@ -394,6 +423,24 @@ def near_duplicates(
     return classes.select("doc_id", "fingerprint", "component_id")
 
 
+def _loose_classes(
+    nodes: DataFrame, tables: list[tuple[str, int]], width: int, similarity: float, chunk: int
+) -> DataFrame:
+    """(node, component) of the ids that have candidates, by components of all their links.
+
+    The first tables find nearly all classes; the later ones link only what is still in
+    different classes, so a group of copies gives its links once and not per table.
+    """
+    classes = nodes.select("rep", F.col("rep").alias("class")).distinct()
+    for some in (tables[:FIRST], tables[FIRST : 4 * FIRST], tables[4 * FIRST :]):
+        links = candidate_links(nodes.join(classes, "rep"), some, width, similarity, chunk)
+        merged = components(links)
+        joined = classes.join(merged, classes["class"] == merged["node"], "left")
+        classes = stored(joined.select("rep", F.coalesce("component", "class").alias("class")), "classes")
+    several = classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return classes.join(several, "class", "left_semi").select(F.col("rep").alias("node"), F.col("class").alias("component"))
+
+
 def similar_documents(
     docs: DataFrame,
     shingle: int = SIMILAR_SHINGLE,
@@ -421,7 +468,8 @@ def similar_documents(
     first = [F.first(n).alias(n) for n in ["size", *longs]]
     known = prints.filter("doc_id IS NOT NULL")
     nodes = stored(known.groupBy(*names).agg(F.min("doc_id").alias("rep"), *first), "simhash")
-    loose = components(candidate_links(nodes, blocked, width, similarity, chunk))
+    tables = [(name, at) for name in blocked for at in range(BITS // width)]
+    loose = _loose_classes(nodes, tables, width, similarity, chunk)
     found = components(similar_links(docs, nodes, loose, shingle, similarity, elements))
     return _classes(prints.select("doc_id", *names), names, nodes, found).select("doc_id", "component_id")
 
