@@ -13,19 +13,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.functions.columns import as_ntz, event_time
-from lectern.operators import realtime, records, serving, speed
+from lectern.operators import alerts, realtime, records, serving, speed
 from lectern.operators.rollups import daily_users
 from lectern.plans import refresh, runner
 from lectern.plans.registry import VIEWS, build_rolled, build_view, views_of
-from lectern.schemas import TOPICS
+from lectern.schemas import RAW, TOPICS
 from lectern.sources import keyed, rollups, versions
 from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
 from lectern.sources.scratch import shared_folder
-from lectern.sources.streams import master_sink
+from lectern.sources.compaction import compact
+from lectern.sources.streams import deduplicated, master_sink
 from lectern.sources.views import read_view
 from lectern.streaming import realtime as realtime_streams
 from lectern.streaming import rollups as stream_rollups
@@ -421,6 +423,44 @@ def _streamed_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(realtime_streams.read_queue(spark, f"{root}/out"))
 
 
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of a stream that is sent twice, as the master dataset keeps them."""
+    root = shared_folder(spark, "replayed")
+    twice = _topic_stream(spark, sf_dir).unionByName(_topic_stream(spark, sf_dir))
+    master_sink(deduplicated(twice), f"{root}/data", f"{root}/checkpoint", None).start().awaitTermination()
+    parts = [read_topic(spark, f"{root}/data", topic) for topic in TOPICS.values()]
+    return as_ntz(reduce(DataFrame.unionByName, parts))
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of a master dataset whose closed days have been put together."""
+    root = shared_folder(spark, "compacted")
+    raw = raw_events(spark, sf_dir).withColumn("arrived", F.col("timestamp")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(2)))
+    raw = _in_bulk(raw)
+    fields = T.StructType([RAW["key"], RAW["value"], RAW["timestamp"], T.StructField("arrived", T.TimestampType())])
+    for part in (0, 1):
+        write_batch(raw.where(F.col("part") == part).drop("part"), root, part, "timestamp", "topic")
+    before = (CUT - datetime.date(1970, 1, 1)).days
+    parts = []
+    for topic in TOPICS.values():
+        compact(spark, f"{root}/topic={topic}", fields, before, 1)
+        rows = read_batches(spark, f"{root}/topic={topic}", fields).withColumn("topic", F.lit(topic))
+        parts.append(rows.select("key", "value", "topic", F.col("arrived").alias("timestamp")))
+    return as_ntz(reduce(DataFrame.unionByName, parts))
+
+
+def _alerts(i: Inputs) -> DataFrame:
+    """Courses whose interactions in six hours rise to three, until they fall to one."""
+    windows = speed.course_popularity(i.stream_events(), "6 hours")
+    return alerts.crossings(windows, ["course_id"], "start", "interactions", 3, 1)
+
+
+def _warnings(i: LayeredInputs) -> DataFrame:
+    """What the audit says of the stored layers where the speed views are missing."""
+    roots = {"master": f"{i.root}/master", "batch": f"{i.root}/views", "speed": f"{i.root}/none"}
+    return records.consistency_warnings(records.freshness(i.spark, roots, F.current_timestamp()))
+
+
 SESSION_GAP, READ_WITHIN = "6 hours", "3 days"
 
 REALTIME: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -439,10 +479,13 @@ REALTIME: dict[str, Callable[[Inputs], DataFrame]] = {
             *realtime.reading_sides(i.topic("notification").where("timestamp_parsed IS NOT NULL"), "timestamp_parsed"), 3 * 86400
         )
     ),
+    "alert_course_activity": _alerts,
     "assessment_realtime_grading_queue": lambda i: realtime.grading_queue(i.topic("assessment")),
 }
 
 STREAMED: dict[str, Query] = {
+    "ingest_deduplicated": _replayed,
+    "ingest_compacted": _compacted,
     "stream_session_activity": _streamed_sessions,
     "stream_notification_reads": _streamed_reads,
     "stream_grading_queue": _streamed_queue,
@@ -631,5 +674,12 @@ def queries() -> dict[str, Query]:
         **{name: _query(build, reads.get(name, Inputs)) for name, build in built.items()},
         **{name: _query(build, LayeredInputs) for name, build in LAYERED.items()},
         "batch_run_incremental": _query(_incremental),
+        "audit_warnings": _query(_warnings, LayeredInputs),
+        "lookup_course_students": _query(
+            lambda i: serving.course_students(i.table_of("course_student_enrollment"), "COURSE007"), StoredInputs
+        ),
+        "lookup_student_courses": _query(
+            lambda i: serving.student_courses(i.table_of("student_course_enrollment"), "SV000041"), StoredInputs
+        ),
         **STREAMED,
     }

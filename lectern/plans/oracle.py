@@ -742,6 +742,8 @@ WHERE window_end <= (SELECT max(tp) - INTERVAL 1 MINUTE FROM typed WHERE {counte
 
 
 _STREAMED = {
+    "lookup_course_students": f"SELECT * FROM ({_ENROLLED}) WHERE course_id = 'COURSE007'",
+    "lookup_student_courses": f"SELECT * FROM ({_ENROLLED}) WHERE student_id = 'SV000041'",
     "batch_run_all": "\nUNION ALL ".join(
         f"SELECT '{name}' AS view, count(*) AS n_rows FROM ({sql})" for name, sql in _VIEW.items()
     ),
@@ -913,6 +915,15 @@ SELECT * FROM ({_OPENED}) WHERE opened_at IS NOT NULL OR sent_at + INTERVAL 3 DA
     SELECT max(tp) AS newest FROM notification
     WHERE event_type IN ('NOTIFICATION_SENT', 'NOTIFICATION_OPENED') AND user_id IS NOT NULL
       AND notification_id IS NOT NULL GROUP BY event_type))""",
+    "alert_course_activity": f"""
+SELECT course_id, start, interactions, signal = 1 AS raised FROM (
+  SELECT *, coalesce(lag(signal) OVER (PARTITION BY course_id ORDER BY start), 0) AS before
+  FROM (SELECT *, CASE WHEN interactions >= 3 THEN 1 WHEN interactions <= 1 THEN 0 END AS signal
+        FROM ({_tumbling(360, 'course_id', 'interactions', _IN_COURSE)})) WHERE signal IS NOT NULL)
+WHERE signal <> before""",
+    "ingest_deduplicated": 'SELECT DISTINCT key, value, topic, "timestamp" FROM raw',
+    "ingest_compacted": "SELECT * FROM raw",
+    "audit_warnings": "SELECT DISTINCT 'master data without speed views' AS warning FROM raw",
     "stream_grading_queue": """
 SELECT assignment_id, count(*) FILTER (event_type = 'SUBMIT_ASSIGNMENT') AS submitted,
        count(*) FILTER (event_type = 'GRADE_ASSIGNMENT') AS graded, submitted - graded AS depth,

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.sources.events import read_or_empty
-
-PARTITIONS = (T.StructField("day", T.LongType()), T.StructField("batch_id", T.LongType()))
+from lectern.sources.layout import PARTITIONS, live
+from lectern.sources.listing import read_or_empty
 
 
 def day_number(time: Column) -> Column:
@@ -38,5 +37,8 @@ def replace_directories(rows: DataFrame, path: str, *by: str) -> None:
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches below `path`, with their `day` and `batch_id`."""
-    return read_or_empty(spark, path, T.StructType([*schema.fields, *PARTITIONS]))
+    """All micro-batches below `path`, with their `day` and `batch_id`.
+
+    Those that a compaction put together count once, below their new batch_id.
+    """
+    return live(spark, path, read_or_empty(spark, path, T.StructType([*schema.fields, *PARTITIONS.fields])))

@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.columns import event_time
 from lectern.schemas import EVENT, RAW, TOPICS
-
-
-def read_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None
-) -> DataFrame:
-    """Parquet at `path`, or an empty frame where nothing has been written yet.
-
-    Only a missing path counts as empty; every other failure is raised.
-    """
-    reader = spark.read.schema(schema)
-    if base is not None:
-        reader = reader.option("basePath", base)
-    try:
-        return reader.parquet(path).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+from lectern.sources import layout, versions
+from lectern.sources.listing import read_or_empty
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
@@ -36,7 +19,11 @@ def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
     listed.
     """
     root = root.rstrip("/")
-    return read_or_empty(spark, f"{root}/topic={topic}", RAW, base=root)
+    path = f"{root}/topic={topic}"
+    if not versions.exists(spark, layout.log_path(path)):
+        return read_or_empty(spark, path, RAW, base=root)
+    dated = T.StructType([*RAW.fields, *layout.PARTITIONS.fields])
+    return layout.live(spark, path, read_or_empty(spark, path, dated, base=root)).select(*RAW.names)
 
 
 def raw_envelope(broker: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from lectern.functions.keyed import newest
 from lectern.schemas import SERVING, SERVING_KEYS
 from lectern.sources import versions
 from lectern.sources.batches import day_number, read_batches, write_batch
+from lectern.sources.compaction import compact
 
 log = logging.getLogger(__name__)
 
@@ -143,3 +144,10 @@ def read_keyed(
             (F.col("day") >= day_number(since)) & (F.col("window_start") >= since)
         )
     return newest(stored.drop("day"), keys, ["batch_id"]).select(*schema.names)
+
+
+def compact_keyed(spark: SparkSession, path: str, table: str, before_day: int, committed: int) -> list[int]:
+    """Put the batches of a keyed table's closed days together, one row per key."""
+    keys = SERVING_KEYS[table]
+    one = lambda rows: newest(rows, keys, ["batch_id"])
+    return compact(spark, path, SERVING[table], before_day, committed, one)

@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from lectern.schemas import ddl
 from lectern.sources import versions
-from lectern.sources.batches import PARTITIONS
+from lectern.sources.layout import PARTITIONS
 from lectern.sources.listing import data_files
 
-DIRECTORIES = T.StructType([*PARTITIONS, *ddl("mark BIGINT").fields])
+DIRECTORIES = T.StructType([*PARTITIONS.fields, *ddl("mark BIGINT").fields])
 DAYS = ddl("day BIGINT, mark BIGINT")
 
 

@@ -18,7 +18,8 @@ from lectern.operators.rollups import SKETCHED, roll, rollup_schema, sketch
 from lectern.schemas import TOPICS, ddl
 from lectern.sources import manifest, versions
 from lectern.sources.batches import day_number, read_batches, replace_directories
-from lectern.sources.events import decode_topic, read_or_empty
+from lectern.sources.events import decode_topic
+from lectern.sources.listing import read_or_empty
 from lectern.sources.typed import directories_path, read_days
 
 DAY = T.StructField("day", T.LongType())

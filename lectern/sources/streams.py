@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from lectern.schemas import RAW, TOPICS
 from lectern.sources.batches import write_batch
+from lectern.sources.compaction import committed_batch, compact
 from lectern.sources.events import raw_envelope
 
 
@@ -67,3 +69,25 @@ def master_sink(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
+
+
+def deduplicated(raw: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """A stream's records once each, though parts of it are sent again within `delay`.
+
+    Records sent again keep their broker time. State holds a record only until the
+    watermark has passed it by `delay`; the batch form is `distinct`.
+    """
+    return raw.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(RAW.names)
+
+
+def compact_master(spark: SparkSession, root: str, checkpoint: str, before_day: int) -> dict[str, list[int]]:
+    """Put the batches of each topic's closed days together; returns the days.
+
+    Only batches that the ingesting stream has finished, by its checkpoint, are touched.
+    """
+    done = committed_batch(spark, checkpoint)
+    kept = RAW.fields[:2] + RAW.fields[3:]  # the topic is a directory
+    return {
+        topic: compact(spark, f"{root.rstrip('/')}/topic={topic}", T.StructType(kept), before_day, done)
+        for topic in TOPICS.values()
+    }

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.schemas import EVENT, RAW, TOPICS
-from lectern.sources import manifest, versions
-from lectern.sources.batches import PARTITIONS, read_batches, replace_directories
+from lectern.sources import layout, manifest, versions
+from lectern.sources.batches import read_batches, replace_directories
 from lectern.sources.events import decode_topic, read_topic
 
 
@@ -58,13 +58,13 @@ def update_typed(spark: SparkSession, raw_root: str, typed_root: str, name: str)
     """
     source, path = f"{raw_root.rstrip('/')}/topic={TOPICS[name]}", days_path(typed_root, name)
     known, listed = directories_path(typed_root, name), f"{typed_root.rstrip('/')}/listed/{name}"
-    manifest.write(manifest.directories(spark, source), listed)
+    manifest.write(layout.live(spark, source, manifest.directories(spark, source)), listed)
     now, before = (manifest.read(spark, p, manifest.DIRECTORIES) for p in (listed, known))
     new, lost = manifest.changed(now, before), manifest.gone(now, before)
     rows = 0
     days = [r["day"] for r in new.select("day").distinct().collect()]
     if days:
-        parts = T.StructType([*RAW.fields, *PARTITIONS])
+        parts = T.StructType([*RAW.fields, *layout.PARTITIONS.fields])
         raw = spark.read.schema(parts).option("basePath", raw_root).parquet(source).where(manifest.on_days(days))
         raw = raw.join(new, manifest.same(raw, new, ["day", "batch_id"]), "left_semi")
         seen = Observation(f"typed_{name}")

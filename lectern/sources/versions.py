@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lectern.sources.events import read_or_empty
+from lectern.sources.listing import read_or_empty
 
 PREFIX, DONE = "run-", "_SUCCESS"
 
@@ -33,14 +33,19 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a directory."""
+    files, at = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(at))
+
+
 def _runs(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """Names of the runs, oldest first, and whether each is complete."""
     files, at = _files(spark, path)
     if not files.exists(at):
         return []
-    names = sorted(s.getPath().getName() for s in files.listStatus(at))
     make = spark._jvm.org.apache.hadoop.fs.Path
-    return [(n, files.exists(make(f"{path}/{n}/{DONE}"))) for n in names if n.startswith(PREFIX)]
+    return [(n, files.exists(make(f"{path}/{n}/{DONE}"))) for n in names(spark, path) if n.startswith(PREFIX)]
 
 
 def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
