@@ -181,6 +181,43 @@ def reading_summary(read: DataFrame) -> DataFrame:
     )
 
 
+# ---- popular videos -------------------------------------------------------------------
+
+#: Items a sketch tracks. An estimate is off by less than 3.5 / TRACKED of a window's views.
+TRACKED = 4096
+
+
+def popularity_sketches(events: DataFrame, length: str = "1 minute", tracked: int = TRACKED) -> DataFrame:
+    """Per window its views and a sketch of fixed size of the videos viewed most.
+
+    Runs on streams and on batch frames of decoded stream events. Sketches of windows, or
+    of parts of one, can be combined (`popular_videos`).
+    """
+    watched = events.where((F.col("event_type") == "VIDEO_WATCHED") & F.col("video_id").isNotNull())
+    sketch = F.call_function("approx_top_k_accumulate", F.col("video_id"), F.lit(tracked))
+    found = watched.groupBy(F.window("timestamp", length).alias("_window")).agg(
+        F.count(F.lit(1)).alias("views"), sketch.alias("sketch")
+    )
+    return found.select(
+        F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "views", "sketch"
+    )
+
+
+def popular_videos(sketches: DataFrame, length: str, k: int = 10, tracked: int = TRACKED) -> DataFrame:
+    """The `k` most viewed videos of longer windows, from the sketches of those within them:
+    estimated views, and by how much they may be off."""
+    best = F.call_function(
+        "approx_top_k_estimate", F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(tracked)), F.lit(k)
+    )
+    combined = sketches.groupBy(F.window("window_start", length).alias("_window")).agg(
+        F.sum("views").alias("_all"), best.alias("_best")
+    )
+    return combined.select(
+        F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"),
+        F.inline("_best").alias("video_id", "views"), (F.col("_all") * 3.5 / tracked).alias("error"),
+    )
+
+
 # ---- grading ----------------------------------------------------------------------
 
 

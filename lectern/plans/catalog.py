@@ -11,7 +11,7 @@ import datetime
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -449,6 +449,23 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(reduce(DataFrame.unionByName, parts))
 
 
+def _popular(i: Inputs) -> DataFrame:
+    """Videos with a fiftieth of a day's views or more, by exact counts, and whether the
+    sketches of the day's hours name them with a number within their error."""
+    events = i.stream_events()
+    near = realtime.popular_videos(realtime.popularity_sketches(events, "1 hour"), "1 day", 100)
+    exact = speed.video_engagement(events.where(F.col("video_id").isNotNull()), "1 day")
+    whole = F.sum("views").over(Window.partitionBy("start"))
+    heavy = exact.withColumn("_all", whole).where(F.col("views") * 50 >= F.col("_all"))
+    a, b = heavy.alias("a"), near.alias("b")
+    match = (F.col("a.start") == F.col("b.window_start")) & (F.col("a.video_id") == F.col("b.video_id"))
+    within = F.abs(F.col("a.views") - F.col("b.views")) <= F.col("error")
+    return a.join(b, match, "left").select(
+        "start", F.col("a.video_id").alias("video_id"), F.col("a.views").alias("views"),
+        F.coalesce(within, F.lit(False)).alias("within"),
+    )
+
+
 def _alerts(i: Inputs) -> DataFrame:
     """Courses whose interactions in six hours rise to three, until they fall to one."""
     windows = speed.course_popularity(i.stream_events(), "6 hours")
@@ -479,6 +496,7 @@ REALTIME: dict[str, Callable[[Inputs], DataFrame]] = {
             *realtime.reading_sides(i.topic("notification").where("timestamp_parsed IS NOT NULL"), "timestamp_parsed"), 3 * 86400
         )
     ),
+    "video_realtime_popular_videos": _popular,
     "alert_course_activity": _alerts,
     "assessment_realtime_grading_queue": lambda i: realtime.grading_queue(i.topic("assessment")),
 }

@@ -915,6 +915,11 @@ SELECT * FROM ({_OPENED}) WHERE opened_at IS NOT NULL OR sent_at + INTERVAL 3 DA
     SELECT max(tp) AS newest FROM notification
     WHERE event_type IN ('NOTIFICATION_SENT', 'NOTIFICATION_OPENED') AND user_id IS NOT NULL
       AND notification_id IS NOT NULL GROUP BY event_type))""",
+    "video_realtime_popular_videos": f"""
+SELECT start, video_id, views, true AS within FROM (
+  SELECT *, sum(views) OVER (PARTITION BY start) AS total
+  FROM ({_tumbling(1440, 'video_id', 'views', _WATCHED + " AND video_id IS NOT NULL")}))
+WHERE views * 50 >= total""",
     "alert_course_activity": f"""
 SELECT course_id, start, interactions, signal = 1 AS raised FROM (
   SELECT *, coalesce(lag(signal) OVER (PARTITION BY course_id ORDER BY start), 0) AS before

@@ -61,6 +61,17 @@ def start_reads(
     return _start(read, "notification_reads", "append", write, checkpoint, interval)
 
 
+def start_popular_videos(
+    raw: DataFrame, path: str, checkpoint: str, length: str = "1 minute", watermark: str = "1 minute",
+    interval: str | None = "30 seconds",
+) -> StreamingQuery:
+    """Sketches of the most viewed videos, a row per closed window; `popular_videos` reads them."""
+    events = speed.decode_stream(raw).withWatermark("timestamp", watermark)
+    sketches = realtime.popularity_sketches(events, length)
+    write = lambda rows, batch: write_batch(rows, path, batch, "window_start")
+    return _start(sketches, "popular_videos", "append", write, checkpoint, interval)
+
+
 def grading_queue(ttl_ms: int) -> Callable:
     """Works submitted and graded per assignment, forgotten once the watermark is `ttl_ms` past the last.
 

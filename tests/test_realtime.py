@@ -185,3 +185,22 @@ def test_queue_depth_over_batches_and_what_is_forgotten(spark, raw, tmp_path):
     got = {r.assignment_id: (r.submitted, r.graded, r.depth, r.updated) for r in streams.read_queue(spark, str(tmp_path / "out")).collect()}
     # b was forgotten in between: its queue begins anew
     assert got == {"a": (2, 1, 1, _at(5)), "b": (0, 1, -1, _at(9001)), "c": (1, 0, 1, _at(9000))}
+
+
+def test_sketches_of_a_stream_name_the_heavy_videos(spark, raw, tmp_path):
+    pick = random.Random(6)
+    names = [f"v{i}" for i in range(300)]
+    one = lambda m: {"event_category": "VIDEO", "event_type": "VIDEO_WATCHED", "video_id": pick.choice([*names, *["hot"] * 60, "warm", "warm", *["warm"] * 20]), "timestamp": _text(m)}
+    batches = [[one(m) for m in range(low, low + 500)] for low in (0, 500)] + [[one(5000)], [one(9000)]]
+    truth = {}
+    for event in batches[0] + batches[1]:
+        truth[event["video_id"]] = truth.get(event["video_id"], 0) + 1
+    kinds = realtime.popularity_sketches(
+        spark.createDataFrame([], "event_type string, video_id string, timestamp timestamp"), "1 hour"
+    ).schema
+    found = _run(spark, raw, tmp_path, streams.start_popular_videos, "video", batches, kinds, length="1 hour")
+    found = found.where(F.col("window_start") < _at(1000))
+    assert found.agg(F.sum("views")).first()[0] == sum(truth.values())
+    best = realtime.popular_videos(found, "1000 days", 2).collect()
+    assert [r.video_id for r in best] == ["hot", "warm"]
+    assert all(abs(r.views - truth[r.video_id]) <= r.error for r in best)
