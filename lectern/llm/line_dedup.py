@@ -13,7 +13,7 @@ a foreign fingerprint. Hash and fingerprint are 64 bits each.
 Large data: a document's keys are made distinct before they are counted and counts are
 combined before the shuffle, so a line that all documents share is one row per task.
 What is shuffled is hashes, never lines, and texts stay where they are. The arrays take
-about 10.5 bytes per key of several documents. They are broadcast while that is within
+about 12.5 bytes per key of several documents. They are broadcast while that is within
 `broadcast_bytes`; beyond it the frequent hashes are joined to the hashes of distinct
 texts by a shuffle, with the same result.
 
@@ -102,8 +102,8 @@ class Shard:
         number = self.index.numbers(keys)
         self.prints = np.zeros(len(keys), np.uint64)
         self.prints[number] = prints.view(np.uint64)
-        self.counts = np.zeros(len(keys), np.uint16)
-        self.counts[number] = np.minimum(counts, 0xFFFF)
+        self.counts = np.zeros(len(keys), np.uint32)
+        self.counts[number] = np.minimum(counts, 0xFFFFFFFF)
 
     def _keys(self, hashes: np.ndarray, prints: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -149,6 +149,8 @@ def dedup_lines(
     """All rows and columns of `docs` (doc_id, text), with n_lines, n_dropped and kept."""
     if min_docs < 1:
         raise ValueError("min_docs is 1 at least")
+    if min_docs > 0xFFFFFFFF:
+        raise ValueError("documents are counted in 32 bits")
     kept = docs.drop("n_lines", "n_dropped", "kept")
     counts = stored(line_counts(docs, min_chars).filter(F.col("docs") >= min(2, min_docs)), "counts")
     index, shards = build_index(counts, shard_keys)

@@ -53,3 +53,12 @@ def test_perfect_hash_is_minimal():
     assert sorted(index.numbers(keys)) == list(range(len(keys)))
     bits = sum(64 * len(words) for _, words, _ in index.levels)
     assert bits < 5 * len(keys)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_a_line_of_very_many_documents(spark, broadcast_bytes):
+    """Counts do not saturate: 70,000 documents are as many as asked for, 70,001 are not."""
+    docs = spark.range(70_000).selectExpr("id doc_id", "concat('own ', id, chr(10), 'shared') text")
+    for min_docs, dropped in ((70_000, 70_000), (70_001, 0)):
+        out = dedup_lines(docs, min_docs, broadcast_bytes=broadcast_bytes)
+        assert out.agg({"n_dropped": "sum"}).first()[0] == dropped
