@@ -108,6 +108,7 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     links = 0
     open_tags: list[tuple[str, bool, int]] = []
+    n_open: dict[str, int] = {}
     boilerplate, article, in_link, articles = False, 0, 0, 0
 
     def close_block():
@@ -138,15 +139,17 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in HELD_TAGS:
             continue
         if ends:
-            if any(name == tag for name, _, _ in open_tags):
+            if n_open.get(tag):
                 while True:
                     name, boilerplate, article = open_tags.pop()
+                    n_open[name] -= 1
                     if name == "a":
                         in_link -= 1
                     if name == tag:
                         break
         elif not attributes.rstrip().endswith("/") or tag in ("a", "span", "div"):
             open_tags.append((tag, boilerplate, article))
+            n_open[tag] = n_open.get(tag, 0) + 1
             if tag == "a":
                 in_link += 1
             names = _names(attributes)

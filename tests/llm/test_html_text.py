@@ -35,7 +35,8 @@ def test_main_text(page, want):
 def test_long_and_hostile_pages():
     big = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     assert len(main_text(big)) > 1_000_000
-    for bad in ("<" * 50_000, "<a " * 20_000, "<!--" * 20_000, "<div>" * 20_000, "<script>" * 2000, "&" * 50_000):
+    for bad in ("<" * 50_000, "<a " * 20_000, "<!--" * 20_000, "<div>" * 20_000, "<script>" * 2000, "&" * 50_000,
+                "<div>" * 100_000 + "</section>" * 100_000):
         assert isinstance(main_text(bad), str)
 
 
