@@ -70,39 +70,47 @@ class Inputs:
         return self.stream_events().agg(F.max("timestamp")).scalar()
 
 
-#: Where each session has stored the tables of a directory, and the newest event time there.
-_STORED: dict[tuple[str, str], tuple[str, datetime.datetime]] = {}
+#: Where each session stores the tables of a directory, and what is there so far.
+_STORED: dict[tuple[str, str], tuple[str, dict[str, object]]] = {}
 
 
 class StoredInputs(Inputs):
     """What serving reads: views, keyed speed tables and `as_of`, all stored before.
 
-    The first query of a session over a directory stores them: master dataset, all
-    batch views in their order, and the speed views as keyed tables.
+    A session stores each of them once for a directory, when a query first reads it: the
+    master dataset with the first view, then that view's job in the views' order, and each
+    speed view as a keyed table. A query waits for what it reads and for nothing else.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _STORED:
-            _STORED[key] = self._store()
-        self.root, self.now = _STORED[key]
+            _STORED[key] = shared_folder(spark, "serving"), {}
+        self.root, self.done = _STORED[key]
 
-    def _store(self) -> tuple[str, datetime.datetime]:
-        root = shared_folder(self.spark, "serving")
-        self.raw().write.partitionBy("topic").parquet(f"{root}/master")
-        report = runner.run(self.spark, f"{root}/master", f"{root}/views", ordered=True)
+    def _once(self, what: str, store: Callable[[], object]) -> object:
+        if what not in self.done:
+            self.done[what] = store()
+        return self.done[what]
+
+    def _run(self, job: str) -> None:
+        self._once("master", lambda: self.raw().write.partitionBy("topic").parquet(f"{self.root}/master"))
+        report = runner.run(self.spark, f"{self.root}/master", f"{self.root}/views", [job], ordered=True)
         if not report.ok:
             raise RuntimeError(report.jobs)
-        for name in streams.VIEWS:
-            keyed.upsert(super().speed_view(name), f"{root}/keyed/{name}", name, 0)
-        return root, self.stream_events().agg(F.max("timestamp")).first()[0]
+
+    def _upsert(self, name: str) -> None:
+        keyed.upsert(super().speed_view(name), f"{self.root}/keyed/{name}", name, 0)
 
     def view(self, name: str) -> DataFrame:
+        job = VIEWS[name].job
+        self._once(job, lambda: self._run(job))
         return read_view(self.spark, f"{self.root}/views", name)
 
     def speed_view(self, name: str, hours: int | None = None) -> DataFrame:
         """The keyed table; with `hours`, only the days that hold the last so many hours."""
+        self._once(f"keyed {name}", lambda: self._upsert(name))
         since = self.as_of() - F.make_dt_interval(hours=F.lit(hours)) if hours else None
         return keyed.read_keyed(self.spark, f"{self.root}/keyed/{name}", name, since)
 
@@ -110,11 +118,13 @@ class StoredInputs(Inputs):
         """A batch-fed serving table; the first call of a session refreshes all of them."""
         tables = f"{self.root}/tables"
         if not versions.exists(self.spark, tables):
+            for view in (*refresh.COPIED, "student_course_enrollment"):
+                self.view(view)
             refresh.refresh_tables(self.spark, f"{self.root}/views", tables, self.as_of())
         return keyed.read_lookup(self.spark, f"{tables}/{name}", name)
 
     def as_of(self) -> Column:
-        return F.lit(self.now)
+        return F.lit(self._once("now", lambda: self.stream_events().agg(F.max("timestamp")).first()[0]))
 
 
 #: Where each session has stored the layers of a directory.

@@ -1,9 +1,11 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import records, serving
+from lectern.plans import catalog, runner
 from lectern.schemas import SERVING
 from lectern.sources import keyed
 
@@ -270,3 +272,23 @@ def test_freshness_and_warnings(spark, raw, tmp_path):
     for name in ("batch", "speed"):
         raw("auth", [{"user_id": "a"}]).write.parquet(roots[name])
     assert records.consistency_warnings(records.freshness(spark, roots, now)).isEmpty()
+
+
+@pytest.fixture
+def stored_anew(spark, sf_dir, monkeypatch):
+    """The serving queries over tables of their own, and the jobs that they ran."""
+    jobs, run = [], runner.run
+
+    def seen(spark, raw_root, view_root, wanted=None, **more):
+        jobs.extend(runner.JOBS if wanted is None else wanted)
+        return run(spark, raw_root, view_root, wanted, **more)
+
+    monkeypatch.setattr(catalog, "_STORED", {})
+    monkeypatch.setattr(runner, "run", seen)
+    return lambda name: (catalog.queries()[name](spark, sf_dir).collect(), jobs)
+
+
+def test_active_user_stats_wait_for_no_batch_view(spark, sf_dir, stored_anew):
+    unstored = catalog._query(catalog.SERVE["serve_active_user_stats"])(spark, sf_dir).collect()
+    rows, jobs = stored_anew("serve_active_user_stats")
+    assert rows == unstored and jobs == []
