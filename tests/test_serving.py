@@ -292,3 +292,9 @@ def test_active_user_stats_wait_for_no_batch_view(spark, sf_dir, stored_anew):
     unstored = catalog._query(catalog.SERVE["serve_active_user_stats"])(spark, sf_dir).collect()
     rows, jobs = stored_anew("serve_active_user_stats")
     assert rows == unstored and jobs == []
+
+
+def test_system_summary_waits_for_the_overviews_alone(spark, sf_dir, stored_anew):
+    unstored = catalog._query(catalog.SERVE["serve_system_summary"])(spark, sf_dir).collect()
+    rows, jobs = stored_anew("serve_system_summary")
+    assert rows == unstored and jobs == ["student_course_analytics"]
