@@ -127,8 +127,8 @@ class StoredInputs(Inputs):
         return F.lit(self._once("now", lambda: self.stream_events().agg(F.max("timestamp")).first()[0]))
 
 
-#: Where each session has stored the layers of a directory.
-_LAYERED: dict[tuple[str, str], str] = {}
+#: Where each session stores the layers of a directory, and what is there so far.
+_LAYERED: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 #: In the merged queries the batch counts what arrived before, the stream the rest.
 CUT = datetime.date(2024, 1, 28)
@@ -144,31 +144,46 @@ def _in_bulk(raw: DataFrame) -> DataFrame:
 class LayeredInputs(Inputs):
     """Batch and stream rollups of the same records.
 
-    The first query of a session over a directory stores them.
+    A session stores a topic's once for a directory, when a query first reads them, and
+    the batch views when a query first asks for them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _LAYERED:
-            _LAYERED[key] = self._store()
-        self.root = _LAYERED[key]
-
-    def _store(self) -> str:
-        root = shared_folder(self.spark, "layers")
-        write_batch(_in_bulk(self.raw()), f"{root}/master", 0, "timestamp", "topic")
-        report = runner.run(self.spark, f"{root}/master", f"{root}/views", incremental=True)
+            _LAYERED[key] = shared_folder(spark, "layers"), set()
+        self.root, self.done = _LAYERED[key]
+
+    def _layers(self, topic: str) -> None:
+        if topic in self.done:
+            return
+        ours = F.col("topic") == TOPICS[topic]
+        write_batch(_in_bulk(self.raw().where(ours)), f"{self.root}/master", 0, "timestamp", "topic")
+        runner.update_rollups(self.spark, f"{self.root}/master", f"{self.root}/views", topic)
+        events = self.spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{self.sf_dir}/events*.parquet")
+        arriving, checkpoint = _in_bulk(derive(events).where(ours)), f"{self.root}/checkpoint/{topic}"
+        stream_rollups.start(arriving, f"{self.root}/stream", checkpoint, None, [topic]).awaitTermination()
+        self.done.add(topic)
+
+    def store_views(self) -> None:
+        """All batch views, from the rollups of all topics."""
+        if "views" in self.done:
+            return
+        for topic in TOPICS:
+            self._layers(topic)
+        report = runner.run(self.spark, f"{self.root}/master", f"{self.root}/views", incremental=True)
         if not report.ok:
             raise RuntimeError(report.jobs)
-        events = self.spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{self.sf_dir}/events*.parquet")
-        stream_rollups.start(_in_bulk(derive(events)), f"{root}/stream", f"{root}/checkpoint", None).awaitTermination()
-        return root
+        self.done.add("views")
 
     def rollup(self, name: str) -> DataFrame:
+        self._layers(name)
         batch = runner.rollup_path(f"{self.root}/views")
         return rollups.merged(self.spark, batch, f"{self.root}/stream", name, CUT)
 
     def sketches(self, name: str) -> DataFrame:
+        self._layers(name)
         batch = runner.rollup_path(f"{self.root}/views")
         return rollups.merged_sketches(self.spark, batch, f"{self.root}/stream", name, CUT)
 
@@ -484,6 +499,7 @@ def _alerts(i: Inputs) -> DataFrame:
 
 def _warnings(i: LayeredInputs) -> DataFrame:
     """What the audit says of the stored layers where the speed views are missing."""
+    i.store_views()
     roots = {"master": f"{i.root}/master", "batch": f"{i.root}/views", "speed": f"{i.root}/none"}
     return records.consistency_warnings(records.freshness(i.spark, roots, F.current_timestamp()))
 

@@ -76,7 +76,7 @@ def run(
     unknown = sorted(set(wanted) - set(JOBS))
     if unknown:
         raise ValueError(f"unknown jobs {unknown}; known are {list(JOBS)}")
-    typed_root = typed_root or f"{view_root.rstrip('/')}_typed"
+    typed_root = typed_root or typed_path(view_root)
     if not versions.exists(spark, raw_root):
         raise FileNotFoundError(f"no master dataset at {raw_root}")
     todo = [v for job in wanted for v in views_of(job)]
@@ -88,10 +88,10 @@ def run(
     rolled_root = rollup_path(view_root)
 
     def decode(topic: str) -> None:
-        write = update_typed if incremental else write_typed
-        report.events[topic] = write(spark, raw_root, typed_root, topic)
         if incremental:
-            rollups.update(spark, typed_root, rolled_root, topic)
+            report.events[topic] = update_rollups(spark, raw_root, view_root, topic, typed_root)
+        else:
+            report.events[topic] = write_typed(spark, raw_root, typed_root, topic)
 
     def store(name: str) -> None:
         if incremental:
@@ -120,6 +120,21 @@ def run(
     return report
 
 
+def update_rollups(
+    spark: SparkSession, raw_root: str, view_root: str, topic: str, typed_root: str | None = None
+) -> int:
+    """The incremental run of one topic as far as its rollups; returns the events it decoded."""
+    typed_root = typed_root or typed_path(view_root)
+    decoded = update_typed(spark, raw_root, typed_root, topic)
+    rollups.update(spark, typed_root, rollup_path(view_root), topic)
+    return decoded
+
+
+def typed_path(view_root: str) -> str:
+    """Where a run keeps the typed layer, unless told otherwise."""
+    return f"{view_root.rstrip('/')}_typed"
+
+
 def rollup_path(view_root: str) -> str:
     """Where an incremental run keeps the rollups of the views."""
     return f"{view_root.rstrip('/')}_rollups"

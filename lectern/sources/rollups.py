@@ -9,6 +9,7 @@ all events into two: up to the horizon the batch counts, from it on the stream d
 from __future__ import annotations
 
 import datetime
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,15 +89,18 @@ def horizon(spark: SparkSession, root: str) -> int | None:
     return row["day"] if row else None
 
 
-def write_stream_batch(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Roll up one micro-batch of raw records, each topic below its own directory.
+def write_stream_batch(
+    rows: DataFrame, root: str, batch_id: int, topics: Collection[str] = tuple(TOPICS)
+) -> None:
+    """Roll up one micro-batch of raw records, each of `topics` below its own directory.
 
     Only `day=/batch_id=` directories of this batch are replaced, so it can run again.
     """
-    rows.persist()
+    if len(topics) > 1:  # else the records are read once anyway
+        rows.persist()
     try:
-        for topic, broker_name in TOPICS.items():
-            arrived = rows.where(F.col("topic") == broker_name).withColumn("day", day_number(F.col("timestamp")))
+        for topic in topics:
+            arrived = rows.where(F.col("topic") == TOPICS[topic]).withColumn("day", day_number(F.col("timestamp")))
             arrived = arrived.where(F.col("day").isNotNull())  # counted by the batch, whatever the horizon
             rolled = roll(decode_topic(arrived, topic, "day"), topic, ["day"])
             rolled = rolled.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

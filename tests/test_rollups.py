@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators.rollups import ROLLUPS, daily_users, merge, roll, rollup_schema, sketch
-from lectern.plans import runner
+from lectern.plans import catalog, runner
 from lectern.plans.registry import VIEWS, build_rolled, build_view
 from lectern.schemas import TOPICS
-from lectern.sources import rollups
+from lectern.sources import rollups, versions
 from lectern.sources.batches import write_batch
 from lectern.sources.sample import raw_events, typed_topics
 from lectern.sources.typed import read_days, update_typed
@@ -188,3 +188,13 @@ def test_sides_skip_each_others_days(spark, layers):
     plan = rollups.merged(spark, batch, stream, "video", 19731)._jdf.queryExecution().toString()
     assert "day#" in plan and plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
     assert set(TOPICS) == set(ROLLUPS)
+
+
+def test_a_merged_query_waits_for_its_topics_alone(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(catalog, "_LAYERED", {})
+    found = catalog.queries()["merge_video_student_course_summary"](spark, sf_dir)
+    whole = build_view("video_student_course_summary", typed_topics(spark, sf_dir), ordered=False)
+    assert _equal(found, catalog.as_ntz(whole))
+    ((root, _),) = catalog._LAYERED.values()
+    stored = {t for t in TOPICS if versions.exists(spark, f"{root}/master/topic={TOPICS[t]}")}
+    assert stored == {"video"} and not versions.exists(spark, f"{root}/views")
