@@ -397,8 +397,8 @@ def _exported(fmt: str) -> Query:
 
 
 def _streamed_within(length: str) -> Query:
-    """The approximate stream beside its exact batch form: a row per window of either, with
-    whether the count is within three standard errors of the sketch, or one user."""
+    """The stream beside its exact batch form: a row per window of either, with whether the
+    count is within three standard errors of a sketch, or one user; the stream's is exact."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys = ["window_start", "window_end"]

@@ -40,7 +40,7 @@ def view_of(name: str, raw: DataFrame, settings: Settings) -> DataFrame:
     """A view over a stream of raw records, with late events dropped by watermark."""
     events = speed.decode_stream(raw).withWatermark("timestamp", settings.watermark)
     if name == "active_users":
-        return speed.active_users(events, settings.length, settings.slide)
+        return speed.counted_users(events, settings.length, settings.slide)
     return VIEWS[name](events, settings.length)
 
 

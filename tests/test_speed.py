@@ -252,3 +252,15 @@ def test_kafka_options():
     }
     assert streams.kafka_options("h", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     assert streams.kafka_options("h")["subscribe"].count(",") == 5
+
+
+def test_the_stream_counts_users_exactly(spark, feed, tmp_path):
+    """Over several batches, users seen again and a login without a user included."""
+    for m in range(2):
+        feed("auth", [login(f"u{m}-{i}", f"10:0{m}:{i % 60:02}") for i in range(600 * (m + 1))])
+    feed("auth", [login(f"u0-{i}", f"10:01:{i % 60:02}") for i in range(30)] + [login(None, "10:02:00")])
+    feed("auth", [login("z", "10:09:00")])
+    one = settings(tmp_path, slide="1 minute")
+    layer.start("active_users", feed.stream(), one).awaitTermination()
+    got = [(r[0], r[2]) for r in windows(spark, tmp_path, "active_users")]
+    assert got == [(at("10:00:00"), 600), (at("10:01:00"), 1230), (at("10:02:00"), 0)]
