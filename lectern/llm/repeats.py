@@ -14,8 +14,9 @@ A suffix carries 16-bit hashes of the words around its gram, as far as a passage
 too long with a probability of 2**-16 at each end. All that decides about a suffix is its
 context: gram, words around and which windows count. Contexts are named by 64 bits.
 
-A window counts if it has `distinct` different words at least. With more than one, filler
-such as one word written fifty times is no passage.
+A window counts if it has `distinct` different words at least: one by default and in the
+query, which leaves no window out. With more, filler such as one word written fifty times
+is no passage.
 
 Large data: a first pass counts the grams; a bitmap of fixed size of those that repeat
 spares the second pass most of the unrepeated ones (it may let others through, which
@@ -46,8 +47,6 @@ from pyspark.sql import functions as F
 from lectern.sources.scratch import stored
 
 WORDS, GRAM, HOT = 50, 16, 4_000
-#: Different words that a window of the query has at least.
-DISTINCT = 10
 #: The bitmap's size, a power of two.
 BITMAP = 1 << 26
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -367,4 +366,4 @@ def repeated_spans(
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return repeated_spans(docs, distinct=DISTINCT)
+    return repeated_spans(docs)

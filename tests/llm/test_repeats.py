@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lectern.llm.repeats import counting, marked_suffixes, repeated_spans
+from lectern.llm.repeats import counting, marked_suffixes, query, repeated_spans
 
 SCHEMA = "doc_id long, text string, begin string"
 
@@ -101,3 +101,13 @@ def test_counting_windows():
         ws = [rng.randrange(5) for _ in range(n)]
         expected = [len(set(ws[s : s + 4])) >= 3 for s in range(n - 3)]
         assert counting(np.array(ws, np.uint64), 4, 3).tolist() == expected
+
+
+def test_the_query_leaves_no_passage_out(spark, tmp_path):
+    """Passages of one, two and nine different words count like any other."""
+    texts = ["no " * 60, "a b " * 30, " ".join(f"w{i % 9}" for i in range(70))]
+    rows = [(2 * i + j, t) for i, t in enumerate(texts) for j in range(2)] + [(9, "alone")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = query(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["start_word"], r["n_words"]) for r in got} == brute(rows, 50)
+    assert {r["doc_id"] for r in got} == set(range(6))
