@@ -198,3 +198,11 @@ def test_a_merged_query_waits_for_its_topics_alone(spark, sf_dir, monkeypatch):
     ((root, _),) = catalog._LAYERED.values()
     stored = {t for t in TOPICS if versions.exists(spark, f"{root}/master/topic={TOPICS[t]}")}
     assert stored == {"video"} and not versions.exists(spark, f"{root}/views")
+
+
+def test_a_merged_overview_stores_no_other_topic(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(catalog, "_LAYERED", {})
+    found = catalog.queries()["merge_student_overview"](spark, sf_dir)
+    assert _equal(found, catalog.as_ntz(build_view("student_overview", typed_topics(spark, sf_dir), ordered=False)))
+    ((root, done),) = catalog._LAYERED.values()
+    assert done == set(VIEWS["student_overview"].topics) and not versions.exists(spark, f"{root}/views")
