@@ -24,7 +24,8 @@ from lectern.schemas import RAW, TOPICS
 from lectern.sources import keyed, rollups, versions
 from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import encode, raw_envelope, read_topic
-from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, typed_topics
+from lectern.sources.listing import read_or_empty
+from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, spread_events, typed_topics
 from lectern.sources.scratch import shared_folder
 from lectern.sources.compaction import compact
 from lectern.sources.streams import deduplicated, master_sink
@@ -54,6 +55,9 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         return build_view(name, typed_topics(self.spark, self.sf_dir), ordered=False)
 
+    def views(self, *names: str) -> list[DataFrame]:
+        return [self.view(name) for name in names]
+
     def stream_events(self) -> DataFrame:
         return speed.decode_stream(self.raw())
 
@@ -78,8 +82,10 @@ class StoredInputs(Inputs):
     """What serving reads: views, keyed speed tables and `as_of`, all stored before.
 
     A session stores each of them once for a directory, when a query first reads it: the
-    master dataset with the first view, then that view's job in the views' order, and each
-    speed view as a keyed table. A query waits for what it reads and for nothing else.
+    master dataset, from which everything else is made; a view in its order, with the typed
+    layer of its topics; the columns that the speed views read, decoded once for all of
+    them; and each speed view as a keyed table. A query waits for what it reads and for
+    nothing else.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -94,19 +100,40 @@ class StoredInputs(Inputs):
             self.done[what] = store()
         return self.done[what]
 
-    def _run(self, job: str) -> None:
-        self._once("master", lambda: self.raw().write.partitionBy("topic").parquet(f"{self.root}/master"))
-        report = runner.run(self.spark, f"{self.root}/master", f"{self.root}/views", [job], ordered=True)
-        if not report.ok:
-            raise RuntimeError(report.jobs)
+    def _master(self) -> str:
+        path = f"{self.root}/master"
+        raw = spread_events(self.spark, self.sf_dir)
+        self._once("master", lambda: raw.write.partitionBy("topic").mode("overwrite").parquet(path))
+        return path
 
     def _upsert(self, name: str) -> None:
         keyed.upsert(super().speed_view(name), f"{self.root}/keyed/{name}", name, 0)
 
     def view(self, name: str) -> DataFrame:
-        job = VIEWS[name].job
-        self._once(job, lambda: self._run(job))
-        return read_view(self.spark, f"{self.root}/views", name)
+        return self.views(name)[0]
+
+    def views(self, *names: str) -> list[DataFrame]:
+        """Stored views. Those that are not there yet are stored by one run."""
+        root = f"{self.root}/views"
+        missing = [name for name in names if f"view {name}" not in self.done]
+        if missing:
+            jobs = dict.fromkeys(VIEWS[name].job for name in missing)
+            typed = [t for t in TOPICS if f"typed {t}" in self.done]
+            report = runner.run(
+                self.spark, self._master(), root, list(jobs), ordered=True, views=missing, decoded=typed
+            )
+            if not report.ok:
+                raise RuntimeError(report.jobs)
+            self.done |= {f"view {name}": None for name in missing}
+            self.done |= {f"typed {t}": None for t in report.events}
+        return [read_view(self.spark, root, name) for name in names]
+
+    def stream_events(self) -> DataFrame:
+        """The decoded columns of all topics, as stored."""
+        path = f"{self.root}/stream_events"
+        events = speed.decode_stream(read_or_empty(self.spark, self._master(), RAW))
+        self._once("stream_events", lambda: versions.replace(self.spark, path, events.write.parquet))
+        return versions.read(self.spark, path, events.schema)
 
     def speed_view(self, name: str, hours: int | None = None) -> DataFrame:
         """The keyed table; with `hours`, only the days that hold the last so many hours."""
@@ -118,8 +145,7 @@ class StoredInputs(Inputs):
         """A batch-fed serving table; the first call of a session refreshes all of them."""
         tables = f"{self.root}/tables"
         if not versions.exists(self.spark, tables):
-            for view in (*refresh.COPIED, "student_course_enrollment"):
-                self.view(view)
+            self.views(*refresh.COPIED, "student_course_enrollment")
             refresh.refresh_tables(self.spark, f"{self.root}/views", tables, self.as_of())
         return keyed.read_lookup(self.spark, f"{tables}/{name}", name)
 
@@ -576,7 +602,7 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
     "table_student_course_enrollment": lambda i: keyed.by_student(_enrollment(i)),
     "table_course_student_enrollment": lambda i: keyed.by_course(_enrollment(i)),
     "serve_batch_summary": lambda i: serving.batch_summary(
-        i.view("student_overview"), i.view("course_overview")
+        *i.views("student_overview", "course_overview")
     ),
     "serve_student_engagement_distribution": lambda i: serving.student_engagement_distribution(
         i.view("student_overview")
@@ -625,8 +651,7 @@ SERVE: dict[str, Callable[[Inputs], DataFrame]] = {
     "serve_system_summary": lambda i: serving.system_summary(
         i.speed_view("active_users"),
         i.speed_view("course_popularity"),
-        i.view("student_overview"),
-        i.view("course_overview"),
+        *i.views("student_overview", "course_overview"),
         i.as_of(),
     ),
     "serve_active_user_stats": lambda i: serving.active_user_stats(

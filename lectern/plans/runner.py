@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -49,8 +49,10 @@ def run(
     parallel: int = 8,
     ordered: bool = False,
     incremental: bool = False,
+    views: Collection[str] | None = None,
+    decoded: Collection[str] = (),
 ) -> Report:
-    """Run jobs (all by default) in one session.
+    """Run jobs (all by default) in one session; with `views`, only those of their views.
 
     The typed layer goes beside the views unless `typed_root` says otherwise.
     Writing it first means each JSON record is parsed once rather than once per
@@ -64,7 +66,7 @@ def run(
     `parallel` views are written at a time: the last tasks of one overlap with
     the first of the next. A failed topic or view fails the jobs that need it;
     the others go on. A missing topic is an empty one; without the master dataset itself
-    nothing is written.
+    nothing is written. Topics in `decoded` are read as the typed layer has them.
 
     With `incremental`, only directories of the master dataset that changed since the last
     such run are decoded, and the report counts their events; only the days they belong
@@ -79,8 +81,8 @@ def run(
     typed_root = typed_root or typed_path(view_root)
     if not versions.exists(spark, raw_root):
         raise FileNotFoundError(f"no master dataset at {raw_root}")
-    todo = [v for job in wanted for v in views_of(job)]
-    topics = list(dict.fromkeys(t for v in todo for t in v.topics))
+    todo = [v for job in wanted for v in views_of(job) if views is None or v.name in views]
+    topics = [t for t in dict.fromkeys(t for v in todo for t in v.topics) if t not in decoded]
 
     report = Report()
     errors: dict[str, str | None] = {}
@@ -113,7 +115,7 @@ def run(
 
     for job in wanted:
         report.jobs[job] = next(
-            (f"{v.name}: {errors[v.name]}" for v in views_of(job) if errors[v.name]), None
+            (f"{v.name}: {errors[v.name]}" for v in views_of(job) if errors.get(v.name)), None
         )
     if incremental and report.ok:
         rollups.set_horizon(spark, rolled_root, topics)

@@ -175,6 +175,20 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The same `events` rows, dealt to tasks by size and not by the file's row groups.
+
+    A record costs far more to derive than its row to read, and a scan has no more tasks
+    than row groups. For what derives whole topics; AQE sizes the shuffle.
+    """
+    return events.repartition("event_id")
+
+
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`raw_events`, derived by as many tasks as there are cores for it."""
+    return derive(spread(spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir}/events.parquet")))
+
+
 def typed_topics(spark: SparkSession, sf_dir: str):
     """Typed frame per topic name, decoded from the derived raw records."""
     raw = raw_events(spark, sf_dir)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lectern.operators import records, serving
 from lectern.plans import catalog, runner
 from lectern.schemas import SERVING
-from lectern.sources import keyed
+from lectern.sources import keyed, versions
+from lectern.sources.sample import raw_events, spread_events
 
 NOW = dt.datetime(2024, 1, 2, 12)
 
@@ -298,3 +299,20 @@ def test_system_summary_waits_for_the_overviews_alone(spark, sf_dir, stored_anew
     unstored = catalog._query(catalog.SERVE["serve_system_summary"])(spark, sf_dir).collect()
     rows, jobs = stored_anew("serve_system_summary")
     assert rows == unstored and jobs == ["student_course_analytics"]
+
+
+def test_system_summary_stores_no_view_but_the_overviews(spark, stored_anew):
+    stored_anew("serve_system_summary")
+    ((root, done),) = catalog._STORED.values()
+    assert versions.names(spark, f"{root}/views") == ["course_overview", "student_overview"]
+    assert sum(what in done for what in ("master", "stream_events", "now")) == 3
+    _, jobs = stored_anew("serve_student_course_performance")
+    runs = versions.names(spark, f"{root}/views_typed/course")
+    assert len(jobs) == 2 and [r for r in runs if r.startswith("run-000000002")] == []
+
+
+def test_records_are_derived_by_more_tasks_than_the_file_has_row_groups(spark, sf_dir, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    tasks = lambda raw: raw.select(F.spark_partition_id()).distinct().count()
+    assert tasks(raw_events(spark, sf_dir)) == 1 and tasks(spread_events(spark, sf_dir)) == 4
+    assert spread_events(spark, sf_dir).exceptAll(raw_events(spark, sf_dir)).isEmpty()
