@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,7 @@ from lectern.sources import keyed, rollups, versions
 from lectern.sources.batches import read_batches, write_batch
 from lectern.sources.events import encode, raw_envelope, read_topic
 from lectern.sources.listing import read_or_empty
-from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, spread_events, typed_topics
+from lectern.sources.sample import SOURCE_SCHEMA, derive, raw_events, spread, spread_events, typed_topics
 from lectern.sources.scratch import shared_folder
 from lectern.sources.compaction import compact
 from lectern.sources.streams import deduplicated, master_sink
@@ -170,8 +172,9 @@ def _in_bulk(raw: DataFrame) -> DataFrame:
 class LayeredInputs(Inputs):
     """Batch and stream rollups of the same records.
 
-    A session stores a topic's once for a directory, when a query first reads them, and
-    the batch views when a query first asks for them.
+    A session stores a topic's once for a directory, when a query first reads them: the
+    layers of all topics that the query reads at the same time, as none waits for another.
+    The batch views are stored when a query first asks for them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -181,35 +184,50 @@ class LayeredInputs(Inputs):
             _LAYERED[key] = shared_folder(spark, "layers"), set()
         self.root, self.done = _LAYERED[key]
 
-    def _layers(self, topic: str) -> None:
-        if topic in self.done:
+    def store(self, *topics: str) -> None:
+        """Store what is missing of the topics' layers, side by side from one master dataset."""
+        missing = [topic for topic in topics if topic not in self.done]
+        if not missing:
             return
-        ours = F.col("topic") == TOPICS[topic]
-        write_batch(_in_bulk(self.raw().where(ours)), f"{self.root}/master", 0, "timestamp", "topic")
+        ours = F.col("topic").isin([TOPICS[topic] for topic in missing])
+        raw = spread_events(self.spark, self.sf_dir).where(ours)
+        write_batch(_in_bulk(raw), f"{self.root}/master", 0, "timestamp", "topic")
+        steps = [(step, topic) for step in (self._stream, self._batch) for topic in missing]
+        with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(lambda step: step[0](step[1])), steps))
+        self.done.update(missing)
+
+    def _batch(self, topic: str) -> None:
         runner.update_rollups(self.spark, f"{self.root}/master", f"{self.root}/views", topic)
+
+    def _stream(self, topic: str) -> None:
         events = self.spark.readStream.schema(SOURCE_SCHEMA).parquet(f"{self.sf_dir}/events*.parquet")
-        arriving, checkpoint = _in_bulk(derive(events).where(ours)), f"{self.root}/checkpoint/{topic}"
+        arriving = _in_bulk(derive(spread(events)).where(F.col("topic") == TOPICS[topic]))
+        checkpoint = f"{self.root}/checkpoint/{topic}"
         stream_rollups.start(arriving, f"{self.root}/stream", checkpoint, None, [topic]).awaitTermination()
-        self.done.add(topic)
 
     def store_views(self) -> None:
         """All batch views, from the rollups of all topics."""
         if "views" in self.done:
             return
-        for topic in TOPICS:
-            self._layers(topic)
+        self.store(*TOPICS)
         report = runner.run(self.spark, f"{self.root}/master", f"{self.root}/views", incremental=True)
         if not report.ok:
             raise RuntimeError(report.jobs)
         self.done.add("views")
 
+    def view(self, name: str) -> DataFrame:
+        """A view of all events, made from the merged rollups of its topics."""
+        self.store(*VIEWS[name].topics)
+        return build_rolled(name, self.rollup)
+
     def rollup(self, name: str) -> DataFrame:
-        self._layers(name)
+        self.store(name)
         batch = runner.rollup_path(f"{self.root}/views")
         return rollups.merged(self.spark, batch, f"{self.root}/stream", name, CUT)
 
     def sketches(self, name: str) -> DataFrame:
-        self._layers(name)
+        self.store(name)
         batch = runner.rollup_path(f"{self.root}/views")
         return rollups.merged_sketches(self.spark, batch, f"{self.root}/stream", name, CUT)
 
@@ -294,7 +312,7 @@ MERGED = (
 
 LAYERED: dict[str, Callable[[LayeredInputs], DataFrame]] = {
     "merge_daily_users": _daily_users,
-    **{f"merge_{name}": (lambda i, name=name: build_rolled(name, i.rollup)) for name in MERGED},
+    **{f"merge_{name}": (lambda i, name=name: i.view(name)) for name in MERGED},
 }
 
 # ---- sources and ingestion ---------------------------------------------------

@@ -25,7 +25,7 @@ def start(
     """Roll up a stream of raw records. `interval=None` processes what is there and stops."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        raw.writeStream.queryName("rollups")
+        raw.writeStream.queryName("-".join(["rollups", *(topics if set(topics) != set(TOPICS) else ())]))
         .foreachBatch(lambda rows, batch: write_stream_batch(rows, root, batch, topics))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

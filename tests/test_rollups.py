@@ -1,5 +1,6 @@
 import datetime
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -206,3 +207,13 @@ def test_a_merged_overview_stores_no_other_topic(spark, sf_dir, monkeypatch):
     assert _equal(found, catalog.as_ntz(build_view("student_overview", typed_topics(spark, sf_dir), ordered=False)))
     ((root, done),) = catalog._LAYERED.values()
     assert done == set(VIEWS["student_overview"].topics) and not versions.exists(spark, f"{root}/views")
+
+
+def test_layers_of_a_query_s_topics_are_stored_side_by_side(spark, sf_dir, monkeypatch):
+    writes, together, update = [], threading.Barrier(4, timeout=120), runner.update_rollups
+    monkeypatch.setattr(catalog, "_LAYERED", {})
+    monkeypatch.setattr(catalog, "write_batch", lambda *a: (writes.append(a[1]), write_batch(*a)))
+    monkeypatch.setattr(runner, "update_rollups", lambda *a: (together.wait(), update(*a)))
+    found = catalog.queries()["merge_student_overview"](spark, sf_dir)
+    assert _equal(found, catalog.as_ntz(build_view("student_overview", typed_topics(spark, sf_dir), ordered=False)))
+    assert len(writes) == 1
