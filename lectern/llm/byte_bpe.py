@@ -15,7 +15,9 @@ Large data: a text of one chunk is encoded where it is read. Chunks of longer te
 dealt over all tasks by the text's digest and their number; copies of a text are one by
 then, combined before the shuffle, so neither a long text nor a much copied one keeps a
 task busy. A chunk sends on its ids, two bytes each if the vocabulary allows, and the
-boundaries of its two overlaps. Only the ids of one text meet in one place.
+boundaries of its two overlaps, in numbers as short as its length allows. Only the ids of
+one text meet in one place. `encode_digests` takes a text's digests where its ids meet, once
+for all copies, so the ids themselves are neither stored nor sent to the rows they are for.
 
 Defined cases: null text is empty, an empty text has no ids; there are no special tokens;
 repeated rows and ids are repeated; an empty table gives no rows; only the named columns
@@ -170,11 +172,18 @@ def _shared(df: DataFrame, path: str | None):
         return df.sparkSession.sparkContext.broadcast((file.read(), public_tokenizers.PATTERN))
 
 
-def _marks(column: np.ndarray) -> np.ndarray:
-    return np.frombuffer(column, np.int64).reshape(-1, 2)
+def mark_kind(seen: int) -> np.dtype:
+    """The type of places and numbers of ids in `seen` characters, of four bytes at most each."""
+    return np.dtype("<u2" if 4 * seen < 1 << 16 else "<u4" if 4 * seen < 1 << 32 else "<i8")
 
 
-def stitch(chunks: list[tuple[bytes, bytes, bytes]], step: int, kind: np.dtype) -> np.ndarray | None:
+def _marks(column: bytes, marks: np.dtype) -> np.ndarray:
+    return np.frombuffer(column, marks).reshape(-1, 2).astype(np.int64)
+
+
+def stitch(
+    chunks: list[tuple[bytes, bytes, bytes]], step: int, kind: np.dtype, marks: np.dtype = np.dtype(np.int64)
+) -> np.ndarray | None:
     """The ids of a text from (ids, head, tail) of its chunks in order; None if two never agree."""
     parts, first = [], 0
     for number, (data, _, tail) in enumerate(chunks):
@@ -182,7 +191,7 @@ def stitch(chunks: list[tuple[bytes, bytes, bytes]], step: int, kind: np.dtype)
         if number + 1 == len(chunks):
             parts.append(ids[first:])
             break
-        mine, theirs = _marks(tail), _marks(chunks[number + 1][1])
+        mine, theirs = _marks(tail, marks), _marks(chunks[number + 1][1], marks)
         _, here, there = np.intersect1d(mine[:, 0] - step, theirs[:, 0], return_indices=True)
         if not len(here):
             return None
@@ -205,8 +214,32 @@ def frames(rows: Iterator[tuple], columns: list[str], weight: Callable[[tuple],
         yield pd.DataFrame(some, columns=columns)
 
 
-def _long(texts: DataFrame, held, step: int, overlap: int) -> DataFrame:
-    """(digest, ids or null) of each distinct text of more than `step` characters."""
+def _listed(_: Ranks, ids: np.ndarray) -> tuple:
+    return (ids.astype(np.int32),)
+
+
+def _digested(ranks: Ranks, ids: np.ndarray) -> tuple:
+    decimal = ",".join(map(str, ids.tolist()))
+    return (
+        len(ids),
+        hashlib.sha256(decimal.encode()).hexdigest(),
+        hashlib.sha256(ranks.decode(ids)).hexdigest(),
+    )
+
+
+#: What becomes of a text's ids: columns, and their values.
+LISTED = "ids array<int>", _listed
+DIGESTED = "n_tokens long, ids_sha256 string, decoded_sha256 string", _digested
+
+
+def _names(columns: str) -> list[str]:
+    return [c.split()[0] for c in columns.split(", ")]
+
+
+def _long(texts: DataFrame, held, step: int, overlap: int, made: tuple[str, Callable]) -> DataFrame:
+    """(digest, agreed, made) of each distinct text of more than `step` characters."""
+    columns, values = made
+    names, marks = _names(columns), mark_kind(step + overlap)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (
@@ -223,57 +256,81 @@ def _long(texts: DataFrame, held, step: int, overlap: int) -> DataFrame:
             rows = []
             for part, complete in zip(batch["part"], batch["complete"]):
                 ids, head, tail = ranks.view(part, step, complete)
-                rows.append((ids, head[head[:, 0] < overlap].tobytes(), tail.tobytes()))
-            made = pd.DataFrame(rows, columns=["ids", "head", "tail"])
-            yield pd.concat([batch[["digest", "number"]], made], axis=1)
+                head = head[head[:, 0] < overlap]
+                rows.append((ids, head.astype(marks).tobytes(), tail.astype(marks).tobytes()))
+            seen = pd.DataFrame(rows, columns=["ids", "head", "tail"])
+            yield pd.concat([batch[["digest", "number"]], seen], axis=1)
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kind = _loaded(*held.value).kind
+        ranks = _loaded(*held.value)
+        none = (False, *[None] * len(names))
         rows = (row for b in batches for row in zip(b["digest"], b["ids"], b["head"], b["tail"]))
-        texts = ((digest, stitch([chunk[1:] for chunk in chunks], step, kind)) for digest, chunks in groupby(rows, itemgetter(0)))
-        stitched = ((digest, None if ids is None else ids.astype(np.int32)) for digest, ids in texts)
-        yield from frames(stitched, ["digest", "ids"], lambda row: 1 if row[1] is None else len(row[1]))
+        chunked = groupby(rows, itemgetter(0))
+        texts = ((digest, stitch([chunk[1:] for chunk in chunks], step, ranks.kind, marks)) for digest, chunks in chunked)
+        stitched = ((digest, *(none if ids is None else (True, *values(ranks, ids)))) for digest, ids in texts)
+        yield from frames(stitched, ["digest", "agreed", *names], lambda row: np.size(row[2]))
 
     parts = texts.select("digest", "text").mapInPandas(cut, "digest string, number int, part string, complete boolean")
     once = parts.groupBy("digest", "number", "complete").agg(F.min("part").alias("part"))
     seen = once.mapInPandas(view, "digest string, number int, ids binary, head binary, tail binary")
     ordered = seen.repartition("digest").sortWithinPartitions("digest", "number")
-    return ordered.mapInPandas(join, "digest string, ids array<int>")
+    return ordered.mapInPandas(join, f"digest string, agreed boolean, {columns}")
 
 
-def encode(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    column: str = "text",
-    path: str | None = None,
-    chunk: int = CHUNK,
-    overlap: int = OVERLAP,
+def _encoded(
+    docs: DataFrame, id_column: str, column: str, path: str | None, chunk: int, overlap: int, made: tuple[str, Callable]
 ) -> DataFrame:
-    """(id, ids): the token ids of every text, as a list. The overlap is a chunk at most."""
+    """(id, made) of every text."""
+    columns, values = made
+    names = _names(columns)
     overlap = min(overlap, chunk)
     held = _shared(docs, path)
 
-    @F.pandas_udf("array<int>")
-    def at_once(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf(columns)
+    def at_once(texts: pd.Series) -> pd.DataFrame:
         ranks = _loaded(*held.value)
-        return pd.Series([ranks.encode(t).astype(np.int32) for t in texts], dtype=object)
+        return pd.DataFrame([values(ranks, ranks.encode(t)) for t in texts], columns=names)
 
     text = F.coalesce(F.col(f"`{column}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"))
-    short = rows.filter(F.length("text") <= chunk).select("id", at_once("text").alias("ids"))
+    short = rows.filter(F.length("text") <= chunk).select("id", at_once("text").alias("made")).select("id", "made.*")
     long = rows.filter(F.length("text") > chunk).withColumn("digest", F.sha2("text", 256))
     done, left, step = [], long, chunk
     while True:
-        found = stored(_long(left, held, step, overlap), "tokens")
-        done.append(found.filter("ids IS NOT NULL"))
-        failed = found.filter("ids IS NULL").select("digest")
+        found = stored(_long(left, held, step, overlap, made), "tokens")
+        done.append(found.filter("agreed"))
+        failed = found.filter("NOT agreed").select("digest")
         if failed.isEmpty():
             break
         left = long.join(failed, "digest", "left_semi")
         step, overlap = step * GROWTH, overlap * GROWTH
     for more in done[1:]:
         done[0] = done[0].union(more)
-    return short.union(long.select("id", "digest").join(done[0], "digest").select("id", "ids"))
+    return short.union(long.select("id", "digest").join(done[0], "digest").select("id", *names))
+
+
+def encode(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    column: str = "text",
+    path: str | None = None,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+) -> DataFrame:
+    """(id, ids): the token ids of every text, as a list. The overlap is a chunk at most."""
+    return _encoded(docs, id_column, column, path, chunk, overlap, LISTED)
+
+
+def encode_digests(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    column: str = "text",
+    path: str | None = None,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every text: `digests` of `encode`, without moving ids."""
+    return _encoded(docs, id_column, column, path, chunk, overlap, DIGESTED)
 
 
 def decode(tokens: DataFrame, column: str = "ids", path: str | None = None, into: str = "bytes") -> DataFrame:
@@ -292,19 +349,16 @@ def digests(tokens: DataFrame, path: str | None = None) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encoded texts."""
     held = _shared(tokens, path)
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    columns, values = DIGESTED
+
+    @F.pandas_udf(columns)
     def made(lists: pd.Series) -> pd.DataFrame:
         ranks = _loaded(*held.value)
-        rows = [
-            (len(ids), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(),
-             hashlib.sha256(ranks.decode(ids)).hexdigest())
-            for ids in lists
-        ]
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        return pd.DataFrame([values(ranks, ids) for ids in lists], columns=_names(columns))
 
     return tokens.select("id", made("ids").alias("made")).select("id", "made.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digests(encode(docs)).withColumnRenamed("id", "doc_id")
+    return encode_digests(docs).withColumnRenamed("id", "doc_id")

@@ -82,3 +82,32 @@ def test_short_and_long_merges_agree(ranks):
     for _ in range(500):
         data = bytes(pick.choice(b"abcdeth \xc3\xa9\xe6\x97") for _ in range(pick.randrange(1, 40)))
         assert ranks.merged_short(data) == ranks.merged(data)
+
+
+def test_digests_move_no_ids(spark, library, monkeypatch):
+    """Long texts, of which some chunks agree at once and some in a second round, send and store no lists of ids."""
+    kept = []
+    monkeypatch.setattr(byte_bpe, "stored", lambda df, purpose, put=byte_bpe.stored: kept.append(df) or put(df, purpose))
+    texts = [None, "", "x", "a" * 900, "word " * 300, "it's we're they've " * 40, "日本" * 200, *["copied long text, " * 50] * 9]
+    texts += _texts(5, 40)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    made = byte_bpe.encode_digests(docs, chunk=32, overlap=16)
+    got = {r["id"]: tuple(r)[1:] for r in made.collect()}
+    for i, text in enumerate(texts):
+        ids = library.encode_ordinary(text or "")
+        decimal = ",".join(map(str, ids)).encode()
+        assert got[i] == (len(ids), hashlib.sha256(decimal).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+    assert len(kept) > 1
+    assert not [c for df in [*kept, made] for c, kind in df.dtypes if kind.startswith("array")]
+    assert "ids#" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("seen,size", [(byte_bpe.CHUNK + byte_bpe.OVERLAP, 2), (1 << 14, 4), (1 << 30, 8)])
+def test_boundaries_fit_their_numbers(ranks, library, seen, size):
+    """In the worst case a character is four ids; chunks stitch by numbers of that size as by others."""
+    kind = byte_bpe.mark_kind(seen)
+    assert kind.itemsize == size and 4 * seen <= np.iinfo(kind).max
+    text = "one two " * 30
+    views = [ranks.view(text[s : s + 56], 40, s + 56 >= len(text)) for s in range(0, len(text), 40)]
+    chunks = [(i, h[h[:, 0] < 16].astype(kind).tobytes(), t.astype(kind).tobytes()) for i, h, t in views]
+    assert byte_bpe.stitch(chunks, 40, ranks.kind, kind).tolist() == library.encode_ordinary(text)
