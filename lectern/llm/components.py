@@ -3,7 +3,8 @@
 Each round hangs every node's larger neighbours on the node's smallest neighbour, then
 does the same with its smaller neighbours. The number of links never grows, and chains
 shorten by a constant factor; the rounds end when nothing changes. Each round's links
-are written to the shared folder, so a lost executor costs one round's tasks at most.
+are written to the shared folder, so a lost executor costs one round's tasks at most,
+and to as many files as their number calls for.
 Smallest neighbours are combined before the shuffle, and a node with a great many links
 is a skewed join that AQE splits.
 """
@@ -31,18 +32,20 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.filter("u > v").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
     """(node, component) for every node of `links` (u, v); component is the smallest node.
 
-    Links of a node to itself and links with a null end count for nothing.
+    Links of a node to itself and links with a null end count for nothing. `most` is about
+    the number that the links do not exceed, if known; files are sized by it.
     """
     now = stored(
         links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         "links",
+        most,
     )
     mark = _mark(now)
     for _ in range(MAX_ROUNDS):
-        now = stored(_star(_star(now, large=True), large=False), "links")
+        now = stored(_star(_star(now, large=True), large=False), "links", mark[0])
         before, mark = mark, _mark(now)
         if mark == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -418,8 +418,10 @@ def near_duplicates(
     """(doc_id, fingerprint, component_id) of all rows; the class is its smallest doc_id."""
     prints = stored(fingerprints(docs, shingle), "simhash")
     known = prints.filter("doc_id IS NOT NULL")
-    nodes = stored(known.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "simhash")
-    classes = _classes(prints, ["fingerprint"], nodes, components(near_links(nodes, distance, chunk)))
+    rows = prints.count()
+    nodes = stored(known.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "simhash", rows)
+    most = rows * comb(block_count(rows, distance), distance)  # per table, unless buckets are chunked
+    classes = _classes(prints, ["fingerprint"], nodes, components(near_links(nodes, distance, chunk), most))
     return classes.select("doc_id", "fingerprint", "component_id")
 
 

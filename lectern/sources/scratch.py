@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a few numbers for which a file is worth while.
+ROWS = 100_000
+
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's `spark.checkpoint.dir`, removed when the session ends.
@@ -26,8 +30,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The same rows, written to a shared folder and read again: a cut in the lineage."""
+def stored(df: DataFrame, purpose: str, most: int | None = None) -> DataFrame:
+    """The same rows, written to a shared folder and read again: a cut in the lineage.
+
+    `most`, for small rows that come from a shuffle, is about the number that they do not
+    exceed. A few of them go to a few files, however many shuffle partitions there are:
+    Hadoop starts processes for each file that it writes to a local disk.
+    """
+    if most is not None:
+        df = df.coalesce(max(1, ceil(most / ROWS)))
     path = f"{shared_folder(df.sparkSession, purpose)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from lectern.llm.components import components
 from lectern.llm.simhash import (
     block_count, block_plan, near_duplicates, near_links, one_of_each, share_of_bits, similar_documents,
 )
+from lectern.sources.scratch import stored
 
 MASK = (1 << 64) - 1
 
@@ -84,6 +85,29 @@ def test_components_of_long_chains(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_few_links_go_to_few_files(spark, conf, monkeypatch):
+    """As many files as rows call for, not as many as there are shuffle partitions."""
+    conf(spark__sql__shuffle__partitions="31", spark__sql__adaptive__coalescePartitions__enabled="false")
+    kept = []
+
+    def noted(df, *more):
+        kept.append(stored(df, *more))
+        return kept[-1]
+
+    for module in ("simhash", "components"):
+        monkeypatch.setattr(f"lectern.llm.{module}.stored", noted)
+    monkeypatch.setattr("lectern.sources.scratch.ROWS", 250)
+    texts = [" ".join(f"w{i // 4}x{n}" for n in range(150)) + f" end{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs.coalesce(1)).collect()}
+    assert [got[i] for i in range(400)] == brute_classes([brute_print(t) for t in texts])
+    assert len(set(got.values())) < 400
+    assert len(kept) > 3
+    assert [len(df.inputFiles()) for df in kept[:2]] == [1, 2]  # fingerprints, distinct ones
+    assert max(len(df.inputFiles()) for df in kept[2:]) <= 16  # 4,000 links at most
+    assert max(len(df.inputFiles()) for df in kept[3:]) <= 3  # as many links as were counted
+
+
 def test_defined_cases(spark):
     empty = near_duplicates(spark.createDataFrame([], "doc_id long, text string"))
     assert empty.count() == 0
